@@ -92,3 +92,9 @@ def bars(
     if chain:
         extra.append(F.window_time("window").alias("bar_time"))
     return out.select(*BAR_COLUMNS, *extra)
+
+
+def in_time_order(rows: DataFrame) -> DataFrame:
+    """Bars or windows sorted by time over the whole table (batch results only; a
+    stream keeps the order of a symbol by its message key)."""
+    return rows.orderBy("start", "symbol")

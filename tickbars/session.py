@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings of a streaming deployment: state on local disk with an incremental
 # change log, so that state larger than the heap is no problem and a checkpoint
@@ -51,3 +51,11 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run inside the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` as a table in the shared folder, so that a plan which reads them more
+    than once computes them once, and a lost executor costs a read only."""
+    path = fresh_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

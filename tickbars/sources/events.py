@@ -1,8 +1,8 @@
 """The `events` table seen as ticks.
 
 Fixed values of the mapping: the base instant 2024-01-01T00:00:00Z, time squeezed
-by 3600 (an hour of events becomes a second of ticks), five symbols, and a
-yesterday price of 40 plus the symbol's number.
+by 3600 (an hour of events becomes a second of ticks), five symbols, seven source
+partitions, and a yesterday price of 40 plus the symbol's number.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from tickbars.schemas import HEARTBEAT, TICK
 BASE_MICROS = 1704067200000000
 SQUEEZE = 3600
 SYMBOLS = 5
+PARTITIONS = 7
 YESTERDAY = 40
 
 
@@ -60,9 +61,12 @@ def ticks_from_events(
 
 
 def messages_from_events(events: DataFrame) -> DataFrame:
-    """Ticks as JSON messages, as a topic would deliver them."""
+    """Ticks as JSON messages, as a topic of seven partitions would deliver them."""
     fields = _fields(SYMBOLS, SQUEEZE)
     fields["time"] = fields["time"].cast("string")
     names = [f.name for f in TICK if f.name in fields]
     value = F.to_json(F.struct(*[fields[name].alias(name) for name in names]))
-    return events.select(fields["symbol"].alias("key"), value.alias("value"))
+    partition = (F.col("user_id") % PARTITIONS).cast("int")
+    return events.select(
+        fields["symbol"].alias("key"), value.alias("value"), partition.alias("partition")
+    )
