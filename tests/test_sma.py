@@ -1,0 +1,203 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from ticks import BASE, messages, tick
+
+from tickbars.functions.codec import decode_ticks, with_event_time
+from tickbars.operators.bars import bars
+from tickbars.operators.sma import (
+    MA_COLUMNS,
+    fill_bar_defaults,
+    merge_partial_windows,
+    sma,
+    sma_all,
+)
+from tickbars.plans.lines import sma_lines
+
+DURATIONS = (5, 10, 15)
+
+
+def bars_of(spark, ticks):
+    return bars(with_event_time(decode_ticks(messages(spark, ticks))))
+
+
+def bar_table(spark, rows):
+    """rows of (symbol, second, price, size, label)"""
+    frame = spark.createDataFrame(
+        rows,
+        "symbol string, second bigint, vwap_price_per_sec double, size_per_sec bigint,"
+        " real_or_filled string",
+    )
+    return frame.withColumn("start", F.timestamp_seconds(F.col("second") + BASE)).drop("second")
+
+
+def paths(rows, **options):
+    """The same averages by each of the three plans."""
+    separate = sma(rows, DURATIONS[0], **options)
+    for seconds in DURATIONS[1:]:
+        separate = separate.unionByName(sma(rows, seconds, **options))
+    return {
+        "separate": separate,
+        "all": sma_all(rows, DURATIONS, **options),
+        "lines": sma_lines(rows, DURATIONS, **options),
+        "short slices": sma_lines(rows, DURATIONS, slice_seconds=4, **options),
+    }
+
+
+def content(frame):
+    return sorted(
+        (r.symbol or "", r.MA_type, r.start, r.end, r.sma_value, r.sum_of_vwap is None,
+         round(r.sum_of_vwap or 0, 6), *r[7:])
+        for r in frame.select(*MA_COLUMNS).collect()
+    )
+
+
+def test_twenty_seconds(spark):
+    rows = bars_of(spark, [tick(s, price=float(s)) for s in range(20)]).cache()
+    for name, frame in paths(rows).items():
+        counts = dict(
+            (r.MA_type, (r.n, r.bars))
+            for r in frame.groupBy("MA_type")
+            .agg(F.count("*").alias("n"), F.sum("window_data_count").alias("bars"))
+            .collect()
+        )
+        assert counts == {
+            "5_MA_data": (24, 100), "10_MA_data": (29, 200), "15_MA_data": (34, 300),
+        }, name
+
+
+def test_values(spark):
+    rows = bars_of(spark, [tick(s, price=float(s)) for s in range(20)])
+    found = {r.s: r for r in sma(rows, 5).select("*", F.unix_seconds("start").alias("s")).collect()}
+    row = found[BASE + 4]
+    assert (row.sma_value, row.sum_of_vwap, row.count_of_vwap) == (6.0, 30.0, 5)
+    assert (row.real_data_count, row.filled_data_count, row.type) == (5, 0, "MA_data")
+    assert found[BASE - 4].window_data_count == 1
+
+
+def test_one_bar(spark):
+    rows = bars_of(spark, [tick(3)])
+    for name, frame in paths(rows).items():
+        starts = frame.where("MA_type = '5_MA_data'").select(F.unix_seconds("start") - BASE)
+        assert sorted(r[0] for r in starts.collect()) == [-1, 0, 1, 2, 3], name
+
+
+def test_nothing_traded(spark):
+    rows = bars_of(spark, [tick(0, kind="heartbeat"), tick(1, kind="heartbeat")])
+    for name, frame in paths(rows).items():
+        row = frame.where("window_data_count = 2").first()
+        assert (row.sma_value, row.count_of_vwap, row.sum_of_vwap) == (0, 0, 0), name
+        assert (row.real_data_count, row.filled_data_count) == (0, 2), name
+
+
+def test_silent_seconds_are_left_out_of_the_average(spark):
+    rows = bar_table(spark, [("A", 0, 10.0, 1, "real"), ("A", 1, 0.0, 0, "filled"), ("A", 2, 20.0, 2, "real")])
+    for name, frame in paths(rows).items():
+        row = frame.where("window_data_count = 3").first()
+        assert (row.sma_value, row.count_of_vwap) == (15.0, 2), name
+
+
+def test_null_prices_sizes_labels_and_symbols(spark):
+    rows = bar_table(
+        spark,
+        [
+            ("A", 0, None, 3, "real"), ("A", 1, 4.0, None, None), ("A", 9, None, 1, "filled"),
+            ("A", 40, 2.0, 1, "real"), (None, 0, 5.0, 2, "real"), (None, 2, 7.0, 2, "filled"),
+        ],
+    ).cache()
+    results = {name: content(frame) for name, frame in paths(rows).items()}
+    assert len(results["separate"]) > 30
+    assert all(result == results["separate"] for result in results.values())
+
+
+def test_unlabelled_bars(spark):
+    rows = bar_table(spark, [("A", 0, 4.0, 1, None), ("A", 1, 6.0, 1, "real")])
+    plain = sma(rows, 5).where("window_data_count = 2").first()
+    assert (plain.real_data_count, plain.filled_data_count) == (1, 0)
+    filled = sma(fill_bar_defaults(rows), 5).where("window_data_count = 2").first()
+    assert (filled.real_data_count, filled.filled_data_count) == (1, 1)
+
+
+def test_rounding_option(spark):
+    rows = bar_table(spark, [("A", 0, 1.0, 1, "real"), ("A", 1, 1.0, 1, "real"), ("A", 2, 2.0, 1, "real")])
+    for plan in (sma, lambda r, d, **o: sma_all(r, (d,), **o), lambda r, d, **o: sma_lines(r, (d,), **o)):
+        exact = plan(rows, 5, round_to=None).where("window_data_count = 3").first()
+        assert exact.sma_value == pytest.approx(4 / 3)
+        assert plan(rows, 5).where("window_data_count = 3").first().sma_value == 1.33
+
+
+def random_rows(seed, symbols=("A", "B", "C")):
+    random.seed(seed)
+    rows = []
+    for _ in range(400):
+        real = random.random() < 0.7
+        rows.append(
+            (
+                random.choice(symbols), random.choice((random.randrange(60), random.randrange(4000))),
+                round(random.random() * 100, 2) if real else 0.0, random.randrange(1, 9) if real else 0,
+                "real" if real else "filled",
+            )
+        )
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_plans_agree_also_on_repeated_seconds(spark, seed):
+    rows = bar_table(spark, random_rows(seed)).cache()
+    results = {name: content(frame) for name, frame in paths(rows, round_to=6).items()}
+    assert all(result == results["separate"] for result in results.values())
+    total = sum(r[8] for r in results["separate"])
+    assert total == (5 + 10 + 15) * rows.count()
+    assert all(r[9] + r[10] == r[8] for r in results["separate"])
+
+
+def test_unique_bars_shortcut(spark):
+    rows = bar_table(spark, {r[:2]: r for r in random_rows(3)}.values()).cache()
+    assert content(sma_lines(rows, one_bar_per_second=True, round_to=6)) == content(
+        sma_lines(rows, round_to=6)
+    )
+
+
+def test_windows_follow_brute_force(spark):
+    data = random_rows(4, symbols=("A",))
+    expected = {}
+    for _, second, price, size, _ in data:
+        for seconds in DURATIONS:
+            for start in range(second - seconds + 1, second + 1):
+                prices = expected.setdefault((seconds, start), [])
+                prices.append(price if size else None)
+    frame = sma_lines(bar_table(spark, data), round_to=None).withColumn("s", F.unix_seconds("start") - BASE)
+    found = {(int(r.MA_type.split("_")[0]), r.s): r for r in frame.collect()}
+    assert found.keys() == expected.keys()
+    for key, prices in expected.items():
+        traded = [p for p in prices if p is not None]
+        assert found[key].window_data_count == len(prices)
+        assert found[key].count_of_vwap == len(traded)
+        average = sum(traded) / len(traded) if traded else 0
+        assert found[key].sma_value == pytest.approx(average)
+
+
+def test_slide(spark):
+    rows = bars_of(spark, [tick(s) for s in range(10)])
+    assert sma(rows, 5, slide="5 seconds").count() == 2
+
+
+def test_merge_of_windows_cut_by_batches(spark):
+    ticks = [tick(s, price=float(s)) for s in range(20)]
+    whole = sma(bars_of(spark, ticks), 5)
+    cut = sma(bars_of(spark, ticks[:10]), 5).unionByName(sma(bars_of(spark, ticks[10:]), 5))
+    assert cut.count() == 28
+    assert content(merge_partial_windows(cut)) == content(whole)
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_ship_each_bar_once(spark):
+    rows = bar_table(spark, random_rows(5))
+    plan = plan_of(sma_lines(rows, one_bar_per_second=True))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Expand" not in plan
+    assert plan_of(sma_all(rows)).count("Expand") == 1

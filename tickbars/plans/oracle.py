@@ -107,8 +107,9 @@ def _all() -> dict[str, str]:
         "event_time": _with(_ticks())
         + " SELECT CAST(event_id AS VARCHAR) AS serial, time_us FROM ticks",
         "event_time_iso": """
-          SELECT event_id, epoch_ms(ts) AS ms,
-                 CASE WHEN epoch_ms(ts) % 1000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
+          SELECT event_id, epoch_us(ts) // 1000 AS ms,
+                 CASE WHEN epoch_us(ts) // 1000 % 1000 = 0
+                      THEN strftime(ts, '%Y-%m-%dT%H:%M:%S')
                       ELSE strftime(date_trunc('millisecond', ts), '%Y-%m-%dT%H:%M:%S.%f')
                  END AS iso
           FROM events""",

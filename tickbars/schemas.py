@@ -23,8 +23,19 @@ def ma_label(seconds: int) -> str:
     return f"{seconds}_MA_data"
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _schema(fields: str) -> T.StructType:
+    """A schema from "name type, name type"; unlike DDL it needs no running session."""
+    pairs = (field.split() for field in fields.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 TICK = _schema("""
@@ -35,8 +46,8 @@ TICK = _schema("""
 """)
 
 BAR = _schema("""
-    symbol string, type string, `start` timestamp, `end` timestamp,
-    `current_time` timestamp, last_data_time timestamp,
+    symbol string, type string, start timestamp, end timestamp,
+    current_time timestamp, last_data_time timestamp,
     real_data_count bigint, filled_data_count bigint, real_or_filled string,
     vwap_price_per_sec double, size_per_sec bigint, volume_till_now bigint,
     yesterday_price double, price_change_percentage double
@@ -44,10 +55,11 @@ BAR = _schema("""
 
 MA = _schema("""
     symbol string, type string, MA_type string,
-    `start` timestamp, `end` timestamp, `current_time` timestamp,
+    start timestamp, end timestamp, current_time timestamp,
     sma_value double, sum_of_vwap double, count_of_vwap bigint,
     window_data_count bigint, real_data_count bigint, filled_data_count bigint
 """)
 
 # What a message source delivers; Kafka adds topic, offset and timestampType.
-ENVELOPE = _schema("key string, value string, `timestamp` timestamp")
+ENVELOPE = _schema("key string, value string, timestamp timestamp")
+LINES = _schema("value string")

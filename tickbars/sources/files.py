@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tickbars.schemas import ENVELOPE
-
-LINES = T.StructType.fromDDL("value string")
+from tickbars.schemas import ENVELOPE, LINES
 
 
 def _schema(file_format: str) -> T.StructType:
