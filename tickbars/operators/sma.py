@@ -11,10 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickbars.functions.columns import rounded, safe_ratio
 from tickbars.schemas import DURATIONS, MA_TYPE, REAL, ma_label
 
 MA_COLUMNS = (
@@ -24,38 +23,21 @@ MA_COLUMNS = (
 COUNTS = ("count_of_vwap", "window_data_count", "real_data_count", "filled_data_count")
 
 
-def bar_measures() -> dict[str, Column]:
-    """What one bar adds to the sums of every window it lies in."""
-    traded = F.col("size_per_sec") != 0
-    price = F.col("vwap_price_per_sec")
-    named = F.col("symbol").isNotNull()
-    real = F.col("real_or_filled") == REAL
+# What one bar adds to the sums of every window it lies in.
+MEASURES = {
+    "sum_of_vwap": "if(size_per_sec != 0, vwap_price_per_sec, 0D)",
+    "count_of_vwap": "if(size_per_sec != 0 AND vwap_price_per_sec IS NOT NULL, 1L, 0L)",
+    "window_data_count": "1L",
+    "real_data_count": f"if(real_or_filled = '{REAL}' AND symbol IS NOT NULL, 1L, 0L)",
+    "filled_data_count": f"if(real_or_filled != '{REAL}' AND symbol IS NOT NULL, 1L, 0L)",
+}
 
-    def one_if(condition: Column) -> Column:
-        return F.when(condition, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
-    return {
-        "sum_of_vwap": F.when(traded, price).otherwise(F.lit(0.0)),
-        "count_of_vwap": one_if(traded & price.isNotNull()),
-        "window_data_count": F.lit(1).cast("bigint"),
-        "real_data_count": one_if(real & named),
-        "filled_data_count": one_if(~real & named),
-    }
-
-
-def average(total: Column, count: Column, round_to: int | None) -> Column:
-    return rounded(safe_ratio(total, count), round_to)
-
-
-def _finish(windows: DataFrame, seconds: int, round_to: int | None) -> DataFrame:
-    return windows.select(
-        "*",
-        F.lit(MA_TYPE).alias("type"),
-        F.lit(ma_label(seconds)).alias("MA_type"),
-        F.col("window.start").alias("start"),
-        F.col("window.end").alias("end"),
-        average(F.col("sum_of_vwap"), F.col("count_of_vwap"), round_to).alias("sma_value"),
-    ).select(*MA_COLUMNS)
+def average(total: str, count: str, round_to: int | None) -> str:
+    value = f"{total} / {count}"
+    if round_to is not None:
+        value = f"round({value}, {round_to})"
+    return f"if({count} != 0, {value}, 0D)"
 
 
 def sma(
@@ -74,10 +56,17 @@ def sma(
     if watermark is not None:
         bars = bars.withWatermark(time_column, watermark)
     window = F.window(time_column, f"{seconds} seconds", slide).alias("window")
-    windows = bars.groupBy(window, "symbol").agg(
-        *[F.sum(value).alias(name) for name, value in bar_measures().items()]
+    sums = [F.expr(f"sum({value}) AS {name}") for name, value in MEASURES.items()]
+    windows = bars.groupBy(window, "symbol").agg(*sums)
+    return windows.selectExpr(
+        "symbol",
+        f"'{MA_TYPE}' AS type",
+        f"'{ma_label(seconds)}' AS MA_type",
+        "window.start",
+        "window.end",
+        f"{average('sum_of_vwap', 'count_of_vwap', round_to)} AS sma_value",
+        *MEASURES,
     )
-    return _finish(windows, seconds, round_to)
 
 
 def sma_all(
@@ -100,52 +89,39 @@ def sma_all(
     if watermark is not None:
         bars = bars.withWatermark(time_column, watermark)
     durations = sorted(durations)
-    measures = bar_measures()
-    window = F.window(time_column, f"{durations[-1]} seconds", slide)
-    rows = bars.select("symbol", time_column, *[v.alias(n) for n, v in measures.items()])
-    rows = rows.withColumn("window", window)
-
-    aggregates = []
-    for seconds in durations:
-        inside = F.col(time_column) < F.col("window.start") + F.make_dt_interval(
-            secs=F.lit(seconds).cast("decimal(18,6)")
+    measures = [f"{value} AS {name}" for name, value in MEASURES.items()]
+    rows = bars.selectExpr("symbol", time_column, *measures)
+    rows = rows.withColumn("window", F.window(time_column, f"{durations[-1]} seconds", slide))
+    sums = [
+        F.expr(
+            f"sum(if({time_column} < window.start + INTERVAL {seconds} SECONDS, {name}, NULL))"
+            f" AS {name}_{seconds}"
         )
-        whole = seconds == durations[-1]
-        for name in measures:
-            value = F.col(name) if whole else F.when(inside, F.col(name))
-            aggregates.append(F.sum(value).alias(f"{name}_{seconds}"))
-    windows = rows.groupBy("window", "symbol").agg(*aggregates)
-    return unfold(windows, durations, F.col("window.start"), round_to)
+        for seconds in durations
+        for name in MEASURES
+    ]
+    windows = rows.groupBy("window", "symbol").agg(*sums)
+    return unfold(windows, durations, "window.start", round_to)
 
 
 def unfold(
-    windows: DataFrame, durations: Sequence[int], start: Column, round_to: int | None
+    windows: DataFrame, durations: Sequence[int], start: str, round_to: int | None
 ) -> DataFrame:
     """One row per duration from rows that hold ``<measure>_<seconds>`` columns.
 
-    Windows without a bar are left out.
+    ``start`` is the SQL of the window start. Windows without a bar are left out.
     """
 
-    def line(seconds: int) -> Column:
-        total = F.col(f"sum_of_vwap_{seconds}")
-        count = F.col(f"count_of_vwap_{seconds}")
-        end = start + F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
-        return F.struct(
-            F.lit(MA_TYPE).alias("type"),
-            F.lit(ma_label(seconds)).alias("MA_type"),
-            start.alias("start"),
-            end.alias("end"),
-            average(total, count, round_to).alias("sma_value"),
-            total.alias("sum_of_vwap"),
-            *[F.col(f"{name}_{seconds}").alias(name) for name in COUNTS],
+    def line(seconds: int) -> str:
+        value = average(f"sum_of_vwap_{seconds}", f"count_of_vwap_{seconds}", round_to)
+        measures = ", ".join(f"{name}_{seconds} AS {name}" for name in MEASURES)
+        return (
+            f"struct('{MA_TYPE}' AS type, '{ma_label(seconds)}' AS MA_type, {start} AS start,"
+            f" {start} + INTERVAL {seconds} SECONDS AS end, {value} AS sma_value, {measures})"
         )
 
-    lines = F.array(*[line(seconds) for seconds in durations])
-    return (
-        windows.select("symbol", F.inline(lines))
-        .where("window_data_count > 0")
-        .select(*MA_COLUMNS)
-    )
+    lines = ", ".join(line(seconds) for seconds in durations)
+    return windows.selectExpr("symbol", f"inline(array({lines}))").where("window_data_count > 0")
 
 
 def fill_bar_defaults(bars: DataFrame) -> DataFrame:
@@ -160,5 +136,5 @@ def merge_partial_windows(partials: DataFrame, round_to: int | None = 2) -> Data
     merged = partials.groupBy(*key).agg(
         *[F.sum(name).alias(name) for name in ("sum_of_vwap", *COUNTS)]
     )
-    value = average(F.col("sum_of_vwap"), F.col("count_of_vwap"), round_to)
-    return merged.withColumn("sma_value", value).select(*MA_COLUMNS)
+    value = average("sum_of_vwap", "count_of_vwap", round_to)
+    return merged.withColumn("sma_value", F.expr(value)).select(*MA_COLUMNS)

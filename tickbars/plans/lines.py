@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickbars.operators.sma import bar_measures, unfold
+from tickbars.operators.sma import MEASURES, unfold
 from tickbars.schemas import DURATIONS
 
 SLICE_SECONDS = 600
@@ -36,45 +36,39 @@ def sma_lines(
     """
     durations = sorted(durations)
     reach = durations[-1] - 1
-    measures = bar_measures()
-    second = F.unix_seconds("start").alias("second")
+    second = "unix_seconds(start) AS second"
     if one_bar_per_second:
-        seconds = bars.select("symbol", second, *[v.alias(n) for n, v in measures.items()])
+        values = [f"{value} AS {name}" for name, value in MEASURES.items()]
+        per_second = bars.selectExpr("symbol", second, *values)
     else:
-        seconds = bars.groupBy("symbol", second).agg(
-            *[F.sum(v).alias(n) for n, v in measures.items()]
-        )
+        sums = [F.expr(f"sum({value}) AS {name}") for name, value in MEASURES.items()]
+        per_second = bars.groupBy("symbol", F.expr(second)).agg(*sums)
 
     # A window belongs to the slice its start is in, so a bar goes to its own
     # slice and, near the beginning of it, to the one before as well.
-    first_slice = F.floor((F.col("second") - reach) / slice_seconds)
-    own_slice = F.floor(F.col("second") / slice_seconds)
-    sliced = seconds.withColumn("slice", F.explode(F.sequence(first_slice, own_slice)))
+    sliced = per_second.selectExpr(
+        "*",
+        f"explode(sequence(floor((second - {reach}) / {slice_seconds}),"
+        f" floor(second / {slice_seconds}))) AS slice",
+    )
 
     # Each window is led by its first bar. A bar after a gap also leads windows
     # that start in the gap: they get rows of their own, without values.
-    group = Window.partitionBy("symbol", "slice")
-    opening = F.greatest(
-        F.lag("second").over(group.orderBy("second")) + 1,
-        F.col("second") - reach,
-        F.col("slice") * slice_seconds,
-    )
-    starts = sliced.withColumn("opening", opening).select(
-        "symbol",
-        "slice",
-        F.explode(F.sequence("opening", "second")).alias("at"),
-        "second",
-        *measures,
+    led = sliced.selectExpr(
+        "*",
+        f"greatest(lag(second) OVER (PARTITION BY symbol, slice ORDER BY second) + 1,"
+        f" second - {reach}, slice * {slice_seconds}) AS opening",
     )
-    has_bar = F.col("at") == F.col("second")
-    starts = starts.select(
-        "symbol", "slice", "at", *[F.when(has_bar, F.col(n)).alias(n) for n in measures]
+    starts = led.selectExpr("*", "explode(sequence(opening, second)) AS at").selectExpr(
+        "symbol", "slice", "at", *[f"if(at = second, {name}, NULL) AS {name}" for name in MEASURES]
     )
-    columns = []
-    for seconds_back in durations:
-        frame = group.orderBy("at").rangeBetween(0, seconds_back - 1)
-        columns += [F.sum(n).over(frame).alias(f"{n}_{seconds_back}") for n in measures]
-    windows = starts.select("symbol", "slice", "at", *columns).where(
-        F.floor(F.col("at") / slice_seconds) == F.col("slice")
+    sums = [
+        f"sum({name}) OVER (PARTITION BY symbol, slice ORDER BY at"
+        f" RANGE BETWEEN CURRENT ROW AND {seconds - 1} FOLLOWING) AS {name}_{seconds}"
+        for seconds in durations
+        for name in MEASURES
+    ]
+    windows = starts.selectExpr("symbol", "slice", "at", *sums).where(
+        f"floor(at / {slice_seconds}) = slice"
     )
-    return unfold(windows, durations, F.timestamp_seconds("at"), round_to)
+    return unfold(windows, durations, "timestamp_seconds(at)", round_to)
