@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from ticks import BASE, messages, tick
 
-from tickbars.functions.codec import decode_ticks, with_event_time
+from tickbars.functions.codec import decode_ticks, ticks_of, with_event_time
 from tickbars.operators.bars import BAR_COLUMNS, bars, in_time_order
 
 
@@ -167,3 +167,10 @@ def test_bars_use_one_shuffle_and_hash_aggregation(make):
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SortAggregate" not in plan
     assert "partial_sum" in plan
+
+
+def test_each_message_is_parsed_once(spark):
+    frame = bars(ticks_of(messages(spark, [tick(0), tick(1, channel="c", bid=1.0)])))
+    assert plan_of(frame).count("from_json(") == 1
+    assert "channel" not in plan_of(frame)
+    assert frame.count() == 2

@@ -6,7 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 from ticks import BASE, messages, tick, write_messages
 
-from tickbars.functions.codec import decode_bars, decode_ticks, encode, with_event_time
+from tickbars.functions.codec import (
+    decode_bars,
+    decode_ticks,
+    encode,
+    ticks_of,
+    with_event_time,
+)
 from tickbars.operators.bars import bars
 from tickbars.operators.history import latest_bar
 from tickbars.operators.sma import sma, sma_all
@@ -20,7 +26,6 @@ from tickbars.streaming.jobs import (
     start_averages,
     start_bars,
     start_chained,
-    ticks_of,
 )
 from tickbars.streaming.replay import run_to_end
 
@@ -94,7 +99,7 @@ def test_bars_split_over_batches_are_whole(spark, tmp_path):
     expected = decode_bars(encode(batch_bars(spark, ticks))).drop("current_time")
     assert sorted(found.collect()) == sorted(expected.collect())
     observed = [p["observedMetrics"]["tick_quality"] for p in query.recentProgress if p["observedMetrics"]]
-    assert sum(o["ticks"] for o in observed) == 201
+    assert sum(o["rows"] for o in observed) == 201
 
 
 @pytest.mark.parametrize("durations", [(5,), (5, 10, 15)])

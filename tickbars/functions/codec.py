@@ -9,6 +9,12 @@ from pyspark.sql import types as T
 from tickbars.functions.columns import micros_to_time, to_long
 from tickbars.schemas import BAR, TICK
 
+TICK_FIELDS = (
+    "symbol", "type", "price", "size", "volume", "isContinuous", "time", "serial",
+    "yesterday_price",
+)
+BAR_FIELDS = ("symbol", "start", "real_or_filled", "vwap_price_per_sec", "size_per_sec")
+
 
 def decode(messages: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """Flatten the JSON ``value`` of each message into the columns of ``schema``.
@@ -21,19 +27,32 @@ def decode(messages: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()
     return messages.select(*keep, data.alias("data")).select(*keep, "data.*")
 
 
-def decode_ticks(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return decode(messages, TICK, keep)
+def decode_ticks(
+    messages: DataFrame, keep: tuple[str, ...] = (), fields: tuple[str, ...] = ()
+) -> DataFrame:
+    """Ticks from messages; ``fields`` (all by default) are the ones worth parsing."""
+    schema = T.StructType([f for f in TICK if not fields or f.name in fields])
+    return decode(messages, schema, keep)
 
 
 def decode_bars(
-    messages: DataFrame, lenient: bool = False, keep: tuple[str, ...] = ()
+    messages: DataFrame,
+    lenient: bool = False,
+    keep: tuple[str, ...] = (),
+    fields: tuple[str, ...] = (),
 ) -> DataFrame:
     """Bars from messages. ``lenient`` also takes numbers that were sent as text."""
+    wanted = T.StructType([f for f in BAR if not fields or f.name in fields])
     if not lenient:
-        return decode(messages, BAR, keep)
-    numbers = {f.name: f.dataType for f in BAR if isinstance(f.dataType, (T.DoubleType, T.LongType))}
+        return decode(messages, wanted, keep)
+    numbers = {
+        f.name: f.dataType for f in wanted if isinstance(f.dataType, (T.DoubleType, T.LongType))
+    }
     as_text = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name in numbers else f.dataType) for f in BAR]
+        [
+            T.StructField(f.name, T.StringType() if f.name in numbers else f.dataType)
+            for f in wanted
+        ]
     )
 
     def number(name: str) -> Column:
@@ -43,7 +62,7 @@ def decode_bars(
 
     decoded = decode(messages, as_text, keep)
     return decoded.select(
-        *keep, *[number(f.name) if f.name in numbers else F.col(f.name) for f in BAR]
+        *keep, *[number(f.name) if f.name in numbers else F.col(f.name) for f in wanted]
     )
 
 
@@ -52,6 +71,32 @@ def with_event_time(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("time", micros_to_time(F.col("time")))
 
 
+def observed(rows: DataFrame, time: str, name: str) -> DataFrame:
+    """Count the rows that no window can take, as metrics of the running query.
+
+    Observing also keeps the optimizer from moving a null check below the parsing,
+    where it would parse each message again.
+    """
+    return rows.observe(
+        name,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(time).isNull()).alias("without_event_time"),
+        F.count_if(F.col("symbol").isNull()).alias("without_symbol"),
+    )
+
+
+def ticks_of(messages: DataFrame) -> DataFrame:
+    """The fields of tick messages that ``bars`` uses, each message parsed once."""
+    ticks = with_event_time(decode_ticks(messages, fields=TICK_FIELDS))
+    return observed(ticks, "time", "tick_quality")
+
+
+def bars_of(messages: DataFrame, lenient: bool = False) -> DataFrame:
+    """The fields of bar messages that the averages use, each message parsed once."""
+    rows = decode_bars(messages, lenient, fields=BAR_FIELDS)
+    return observed(rows, "start", "bar_quality")
+
+
 def encode(rows: DataFrame, keyed: bool = True) -> DataFrame:
     """Messages with ``symbol`` as key (optional) and the row as JSON value.
 

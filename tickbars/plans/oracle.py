@@ -146,6 +146,7 @@ def _all() -> dict[str, str]:
         "sma_5_defaults": _line((5,)),
         "sma_merge": _line((5,)),
     }
+    sql["bars_from_messages"] = sql["bars_1s"]
     sql["sma_5_rounded"] = (
         _with(_ticks(), _bars(), _windows((5,)))
         + f"""

@@ -11,7 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.functions.codec import decode_bars, decode_ticks, encode, with_event_time
+from tickbars.functions.codec import (
+    bars_of,
+    decode_bars,
+    decode_ticks,
+    encode,
+    ticks_of,
+    with_event_time,
+)
 from tickbars.functions.columns import iso_to_millis, millis_to_iso, ntz_to_micros
 from tickbars.operators import history
 from tickbars.operators.bars import bars, in_time_order
@@ -136,15 +143,24 @@ def query_decode_bars(spark: SparkSession, folder: str) -> DataFrame:
 # --- bars ------------------------------------------------------------------------------
 
 
-def query_bars_1s(spark: SparkSession, folder: str) -> DataFrame:
+def _whole_bar(rows: DataFrame) -> DataFrame:
     return _bar_view(
-        _bars(spark, folder),
+        rows,
         "type", _seconds("end"), _micros("last_data_time"), "size_per_sec",
         "volume_till_now", "yesterday_price", "real_data_count", "filled_data_count",
         "real_or_filled", _six("vwap_price_per_sec"),
     )
 
 
+def query_bars_1s(spark: SparkSession, folder: str) -> DataFrame:
+    return _whole_bar(_bars(spark, folder))
+
+
+def query_bars_from_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON ticks to bars."""
+    return _whole_bar(bars(ticks_of(messages_from_events(read_events(spark, folder)))))
+
+
 def query_bar_counts(spark: SparkSession, folder: str) -> DataFrame:
     return _bar_view(_bars(spark, folder), "real_data_count", "filled_data_count")
 
@@ -211,12 +227,12 @@ def _messages_without_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def query_sma_5_counts(spark: SparkSession, folder: str) -> DataFrame:
-    rows = decode_bars(_messages_without_labels(spark, folder))
+    rows = bars_of(_messages_without_labels(spark, folder))
     return _line_view(sma_lines(rows, (5,), round_to=None))
 
 
 def query_sma_5_defaults(spark: SparkSession, folder: str) -> DataFrame:
-    rows = decode_bars(_messages_without_labels(spark, folder), lenient=True)
+    rows = bars_of(_messages_without_labels(spark, folder), lenient=True)
     return _line_view(sma_lines(fill_bar_defaults(rows), (5,), round_to=None))
 
 
@@ -302,7 +318,7 @@ def query_stream_sma(spark: SparkSession, folder: str) -> DataFrame:
     """Bar messages to five-second averages."""
     topic = fresh_folder(spark, "bar_messages")
     encode(_bars(spark, folder)).write.parquet(topic)
-    rows = decode_bars(stream_messages(spark, topic))
+    rows = bars_of(stream_messages(spark, topic))
     return _line_view(replay(average_rows(rows, (5,), round_to=None), "stream_sma"))
 
 

@@ -10,10 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickbars.functions.codec import decode_bars, decode_ticks, with_event_time
+from tickbars.functions.codec import bars_of, ticks_of
 from tickbars.operators.bars import bars
 from tickbars.operators.sma import fill_bar_defaults, sma, sma_all
 from tickbars.schemas import DURATIONS
@@ -51,20 +50,6 @@ def start(
     return writer.start()
 
 
-def watched(ticks: DataFrame, name: str = "tick_quality") -> DataFrame:
-    """Count, in the query's progress, the rows that no window can take."""
-    return ticks.observe(
-        name,
-        F.count(F.lit(1)).alias("ticks"),
-        F.count_if(F.col("time").isNull()).alias("without_event_time"),
-        F.count_if(F.col("symbol").isNull()).alias("without_symbol"),
-    )
-
-
-def ticks_of(messages: DataFrame) -> DataFrame:
-    return watched(with_event_time(decode_ticks(messages)))
-
-
 def bar_rows(ticks: DataFrame, watermark: str = WATERMARK, **options: bool) -> DataFrame:
     return bars(ticks, watermark=watermark, **options)
 
@@ -120,7 +105,7 @@ def start_averages(
 ) -> StreamingQuery:
     """Bar messages to averages. ``lenient`` takes numbers sent as text and puts
     defaults where fields are missing, so an unlabelled bar counts as filled."""
-    rows = decode_bars(messages, lenient)
+    rows = bars_of(messages, lenient)
     if lenient:
         rows = fill_bar_defaults(rows)
     averages = average_rows(rows, durations, watermark=watermark, round_to=round_to)
