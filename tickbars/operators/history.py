@@ -120,27 +120,38 @@ def gap_fill(bars: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     following = parts.withColumn("_following", F.lead("_second").over(within(SYMBOL)))
     joined = join_slices(following, openings, SYMBOL)
 
-    # From each bar up to the second before the next one, slice by slice so that
-    # a long silence does not become one long array.
+    # From each bar up to the second before the next one.
     last = F.coalesce(F.col("_following") - 1, F.col("_later") - 1, F.col("_second"))
-    spans = joined.withColumn("_last", last).withColumn(
+    return fill_seconds(joined, F.col("_second"), last, F.col("yesterday_price"), slice_seconds)
+
+
+def fill_seconds(
+    rows: DataFrame,
+    first: Column,
+    last: Column,
+    yesterday: Column,
+    slice_seconds: int = SLICE_SECONDS,
+) -> DataFrame:
+    """A row for each second from ``first`` to ``last``: the bar itself at its own
+    ``_second``, and the bar of a heartbeat, with ``yesterday`` as price to compare
+    with, at the others.
+
+    The seconds are made slice by slice, so a long silence is not one long array.
+    """
+    spans = rows.withColumns({"_first": first, "_last": last}).withColumn(
         "_span",
         F.explode(
             F.sequence(
-                F.floor(F.col("_second") / slice_seconds), F.floor(F.col("_last") / slice_seconds)
+                F.floor(F.col("_first") / slice_seconds), F.floor(F.col("_last") / slice_seconds)
             )
         ),
     )
-    begin = F.greatest(F.col("_second"), F.col("_span") * slice_seconds)
+    begin = F.greatest(F.col("_first"), F.col("_span") * slice_seconds)
     end = F.least(F.col("_last"), F.col("_span") * slice_seconds + slice_seconds - 1)
     seconds = spans.withColumn("_at", F.explode(F.sequence(begin, end)))
 
     has_bar = F.col("_at") == F.col("_second")
     start = F.timestamp_seconds("_at")
-
-    def unless_bar(name: str, value: Column) -> Column:
-        return F.when(has_bar, F.col(name)).otherwise(value).alias(name)
-
     zero = F.lit(0)
     filler = {
         "last_data_time": F.lit(None),
@@ -150,19 +161,16 @@ def gap_fill(bars: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
         "vwap_price_per_sec": zero,
         "size_per_sec": zero,
         "volume_till_now": zero,
-        "price_change_percentage": change_percent(F.lit(0.0), F.col("yesterday_price")),
+        "yesterday_price": yesterday,
+        "price_change_percentage": change_percent(F.lit(0.0), yesterday),
     }
-    made = {
-        "type": F.lit(BAR_TYPE).alias("type"),
-        "start": start.alias("start"),
-        "end": (start + F.expr("interval 1 second")).alias("end"),
+    columns = {
+        name: F.when(has_bar, F.col(name)).otherwise(value) for name, value in filler.items()
     }
-    return seconds.select(
-        *[
-            made.get(name, unless_bar(name, filler[name]) if name in filler else F.col(name))
-            for name in BAR_COLUMNS
-        ]
-    )
+    columns["type"] = F.lit(BAR_TYPE)
+    columns["start"] = start
+    columns["end"] = start + F.expr("interval 1 second")
+    return seconds.select(*[columns.get(name, F.col(name)).alias(name) for name in BAR_COLUMNS])
 
 
 def latest_bar(bars: DataFrame) -> DataFrame:

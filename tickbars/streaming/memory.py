@@ -1,0 +1,90 @@
+"""Streams of bars that remember the bar before: carried price and filled gaps.
+
+State is three numbers per symbol. Python sees three numbers of each bar; the rest of
+the row passes by as one opaque column, and filler rows are made by Spark.
+Bars of a symbol have to come in time order from one micro-batch to the next, as
+they do from the bar job; within a batch any order will do. A micro-batch holds
+at most one bar per symbol and second of the time it spans, so the source's
+rate limit bounds what one symbol brings at a time.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tickbars.operators.bars import BAR_COLUMNS
+from tickbars.operators.history import fill_seconds
+
+_MICROS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def _remember(
+    key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+) -> Iterator[pd.DataFrame]:
+    last_second, last_price, last_base = state.get if state.exists else (None, None, None)
+    rows = pd.concat(list(batches)).sort_values("second", ignore_index=True)
+    before = rows["second"].shift(1)
+    base = rows["base"].shift(1)
+    price = rows["price"].where(rows["price"] != 0).ffill()
+    if last_second is not None:
+        before.iloc[0], base.iloc[0] = last_second, last_base
+    if last_price is not None:
+        price = price.fillna(last_price)
+    # A first bar, and one that came too late, has nothing to fill before it.
+    gap = (rows["second"] - before).fillna(1).clip(lower=1).astype("int64")
+    if last_second is None or rows["second"].iloc[-1] >= last_second:
+        last_second, last_base = int(rows["second"].iloc[-1]), _number(rows["base"].iloc[-1])
+        last_price = _number(price.iloc[-1])
+    state.update((last_second, last_price, last_base))
+    yield pd.DataFrame({"row": rows["row"], "gap": gap, "carried": price, "base": base})
+
+
+def _number(value: float) -> float | None:
+    return None if pd.isna(value) else float(value)
+
+
+def remembered(bars: DataFrame) -> DataFrame:
+    """Each bar with ``carried_vwap`` (its price, else the last one before it that was
+    not 0, else yesterday's), ``gap``, the seconds since the bar before it, and
+    ``yesterday_before``, the yesterday price of that bar."""
+    slim = bars.select(
+        "symbol",
+        F.unix_seconds("start").alias("second"),
+        F.col("vwap_price_per_sec").alias("price"),
+        F.col("yesterday_price").alias("base"),
+        F.to_json(F.struct(*BAR_COLUMNS), _MICROS).alias("row"),
+    )
+    known = slim.groupBy("symbol").applyInPandasWithState(
+        _remember,
+        "row string, gap bigint, carried double, base double",
+        "second bigint, price double, base double",
+        "append",
+        GroupStateTimeout.NoTimeout,
+    )
+    schema = bars.select(*BAR_COLUMNS).schema
+    row = F.from_json("row", schema, _MICROS).alias("row")
+    carried, base = (
+        F.when(~F.isnan(name), F.col(name)).alias(name) for name in ("carried", "base")
+    )
+    return known.select(row, "gap", carried, base).select(
+        "row.*",
+        "gap",
+        F.coalesce("carried", "row.yesterday_price").alias("carried_vwap"),
+        F.col("base").alias("yesterday_before"),
+    )
+
+
+def carry_forward(bars: DataFrame) -> DataFrame:
+    return remembered(bars).select(*BAR_COLUMNS, "carried_vwap")
+
+
+def gap_fill(bars: DataFrame) -> DataFrame:
+    """The bars, each led by what heartbeats would have made of the silence before it."""
+    rows = remembered(bars).withColumn("_second", F.unix_seconds("start"))
+    first = F.col("_second") - F.col("gap") + 1
+    return fill_seconds(rows, first, F.col("_second"), F.col("yesterday_before"))
