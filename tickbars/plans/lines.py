@@ -2,11 +2,11 @@
 
 A sliding window over bars that lie scattered over the partitions copies every
 bar once per window it is in, and ships nearly all of these copies. Here each
-bar is shipped once (plus a narrow overlap): time is cut into slices, a task
-gets whole (symbol, slice) groups in order, and range frames sum the windows in
-place. A slice holds at most ``slice_seconds`` bars of one symbol, so the group
-size does not grow with the table, and a symbol that holds a third of all bars is
-spread over its slices.
+bar is shipped once (plus a narrow overlap): time is cut into slices, whole
+(symbol, slice) groups meet in one task, and only there a bar is copied into its
+windows, which are complete without another shuffle. A slice holds at most
+``slice_seconds`` bars of one symbol, so the group size does not grow with the
+table, and a symbol that holds a third of all bars is spread over its slices.
 """
 
 from __future__ import annotations
@@ -50,25 +50,16 @@ def sma_lines(
         "*",
         f"explode(sequence(floor((second - {reach}) / {slice_seconds}),"
         f" floor(second / {slice_seconds}))) AS slice",
-    )
-
-    # Each window is led by its first bar. A bar after a gap also leads windows
-    # that start in the gap: they get rows of their own, without values.
-    led = sliced.selectExpr(
-        "*",
-        f"greatest(lag(second) OVER (PARTITION BY symbol, slice ORDER BY second) + 1,"
-        f" second - {reach}, slice * {slice_seconds}) AS opening",
-    )
-    starts = led.selectExpr("*", "explode(sequence(opening, second)) AS at").selectExpr(
-        "symbol", "slice", "at", *[f"if(at = second, {name}, NULL) AS {name}" for name in MEASURES]
-    )
+    ).repartition("symbol", "slice").sortWithinPartitions("symbol", "slice", "second")
+    # Bars come in time order, so sums of prices always add up in the same order.
+    # The partitioning above already brings each group of the aggregation together.
+    first = f"greatest(second - {reach}, slice * {slice_seconds})"
+    last = f"least(second, slice * {slice_seconds} + {slice_seconds - 1})"
+    starts = sliced.selectExpr("*", f"explode(sequence({first}, {last})) AS at")
     sums = [
-        f"sum({name}) OVER (PARTITION BY symbol, slice ORDER BY at"
-        f" RANGE BETWEEN CURRENT ROW AND {seconds - 1} FOLLOWING) AS {name}_{seconds}"
+        F.expr(f"sum(if(second < at + {seconds}, {name}, NULL)) AS {name}_{seconds}")
         for seconds in durations
         for name in MEASURES
     ]
-    windows = starts.selectExpr("symbol", "slice", "at", *sums).where(
-        f"floor(at / {slice_seconds}) = slice"
-    )
+    windows = starts.groupBy("symbol", "slice", "at").agg(*sums)
     return unfold(windows, durations, "timestamp_seconds(at)", round_to)
