@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +15,22 @@ from tickbars.session import stored
 FOLDS = 5
 
 
+def shipped(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``--py-files`` does, once for each application."""
+    context = spark.sparkContext
+    if getattr(context, "_tickbars_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="tickbars-")) / "tickbars_package.zip"
+    with zipfile.ZipFile(archive, "w") as files:
+        for source in sorted(package.rglob("*.py")):
+            files.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tickbars_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
