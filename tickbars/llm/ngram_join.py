@@ -35,14 +35,13 @@ from pyspark.sql import functions as F
 
 from tickbars.llm import wordhash
 from tickbars.llm.components import components
-from tickbars.llm.tables import staged, table
+from tickbars.llm.tables import bit_field, may_have, removed, staged, table
 
 SIZE = 4
 PERCENT = 85
 FRAGMENTS = 8
 CELL_BITS = 22
 CHUNK_BITS = 16
-FILTER_BITS = 24
 
 SETS = "doc_id long, v long, n int, prefix array<long>"
 PARTS = "v long, f int, part array<long>"
@@ -171,12 +170,7 @@ def verified(documents: DataFrame, sets: DataFrame, pairs: DataFrame, logs, size
     pairs = staged(pairs, "pairs")
     cuts = fragment_cuts(logs.value, FRAGMENTS)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    # Which classes take part, as a bit field of fixed size that may also hit others.
-    cell = F.pmod(F.col("v"), F.lit(1 << FILTER_BITS))
-    words_ = wanted.groupBy(F.shiftright(cell, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(v, {1 << FILTER_BITS}) & 63 as int))")).alias("bits"))
-    field = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for word, bits in words_.toLocalIterator():
-        field[word] = bits
+    field = bit_field(wanted, "v")  # of the classes that take part
     flags = documents.sparkSession.sparkContext.broadcast(field)
 
     def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -185,8 +179,7 @@ def verified(documents: DataFrame, sets: DataFrame, pairs: DataFrame, logs, size
         for _, _, _, _, words in wordhash.text_words(batch.column("text"), wordhash.NOT_SPACE):
             grams = shingle_set(words, size)
             v = _named(grams)
-            c = v % (1 << FILTER_BITS)
-            if not (int(bits[c >> 6]) >> (c & 63)) & 1 or not len(grams):
+            if not len(grams) or not may_have(bits, np.array([v]))[0]:
                 continue
             keys = ordered(grams, logs.value)
             ends = [0, *np.searchsorted(keys, cuts).tolist(), len(keys)]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import zipfile
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +45,33 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """The documents that nothing may be learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again."""
+    for rows in tables:
+        spark = rows.sparkSession
+        for path in {str(Path(x.replace("file:///", "/")).parent) if x.startswith("file:") else x.rpartition("/")[0] for x in rows.inputFiles()}:
+            with contextlib.suppress(Exception):  # what stays is only space
+                where = spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+BIT_FIELD = 24
+
+
+def bit_field(rows: DataFrame, name: str) -> np.ndarray:
+    """2^BIT_FIELD bits, set for the remainders of the long column ``name``: a first test of fixed
+    size for whether a number may be among the rows; others pass it too."""
+    cell = F.col(name).bitwiseAND(F.lit((1 << BIT_FIELD) - 1))
+    bit = F.expr(f"shiftleft(1L, cast({name} & 63 as int))")
+    words = rows.groupBy(F.shiftright(cell, 6).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    field = np.zeros(1 << (BIT_FIELD - 6), np.int64)
+    for word, bits in words.toLocalIterator():
+        field[word] = bits
+    return field
+
+
+def may_have(field: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    cell = numbers.astype(np.int64) & ((1 << BIT_FIELD) - 1)
+    return (field[cell >> 6] >> (cell & 63)) & 1 == 1

@@ -20,6 +20,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
+# Tables that tell capital letters from small ones.
+EXACT = [_random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
 _powers = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
@@ -52,11 +54,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each span of ``data``."""
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np.ndarray = _VALUE) -> np.ndarray:
+    """Hash of each span of ``data``, with the given number for each byte."""
     power, inverse = _power(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUE[data] * power[: len(data)], out=sums[1:])
+    np.cumsum(value[data] * power[: len(data)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
