@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from tickbars.llm.chat import op10_chat
 from tickbars.llm.decontamination import op5_decontamination
+from tickbars.llm.fingerprints import op1_fingerprints
+from tickbars.llm.language import op7_language
 from tickbars.llm.ngram_join import op9_ngram_join
 from tickbars.llm.packing import op3_packing
+from tickbars.llm.substrings import op2_substrings
+from tickbars.llm.toxicity import op6_toxicity
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_substrings": op2_substrings,
     "op3_packing": op3_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
+    "op7_language": op7_language,
     "op9_ngram_join": op9_ngram_join,
+    "op10_chat": op10_chat,
 }
 
 ORACLE_SQL: dict[str, str] = {}
