@@ -15,10 +15,19 @@ from tickbars.llm import tables
 from tickbars.llm.decontamination import contamination
 from tickbars.llm.ngram_join import groups
 from tickbars.llm.packing import TOKENIZER, pack
+from tickbars.llm.substrings import deduplicated
+from tickbars.llm.toxicity import fit, scored
 
 ORACLE_SQL = None
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.5 or more go."""
+    labels = tables.table(spark, sf_dir, "labels")
+    gone = scored(docs, fit(docs, labels)).where("score >= 0.5").select("doc_id").distinct()
+    return docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays, the one with the smallest doc_id."""
     tables.shipped(spark)
@@ -26,6 +35,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(found, docs.doc_id.eqNullSafe(found.doc_id), "left_semi")
 
 
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are cut out; a document of nothing else goes."""
+    tables.shipped(spark)
+    left = deduplicated(docs).where("n_passages = 0 or trim(text) <> ''")
+    return left.select(*docs.columns)
+
+
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     found = contamination(docs, tables.table(spark, sf_dir, "benchmark"))
@@ -42,7 +58,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("ngram_join", near_copies),
+    ("substrings", repeats),
     ("decontamination", benchmark),
     ("packing", packing),
 ]

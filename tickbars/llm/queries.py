@@ -4,22 +4,78 @@ from __future__ import annotations
 
 from tickbars.llm.chat import op10_chat
 from tickbars.llm.decontamination import op5_decontamination
+from tickbars.llm.extraction import op8_extraction
 from tickbars.llm.fingerprints import op1_fingerprints
 from tickbars.llm.language import op7_language
 from tickbars.llm.ngram_join import op9_ngram_join
 from tickbars.llm.packing import op3_packing
 from tickbars.llm.substrings import op2_substrings
+from tickbars.llm.token_counts import op4_token_counts
 from tickbars.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_substrings": op2_substrings,
     "op3_packing": op3_packing,
+    "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
+    "op8_extraction": op8_extraction,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat": op10_chat,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The format's length: texts and roles with their escapes, and the marks around and between them.
+CHAT_SQL = """
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), known AS (
+    SELECT *,
+        length(text) + length(regexp_replace(text, '[^\\\\<|]', '', 'g')) AS text_size,
+        length(role) + length(regexp_replace(role, '[^\\\\<|]', '', 'g')) AS role_size,
+        lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) IS DISTINCT FROM role AS opens
+    FROM rows
+)
+SELECT conv_id,
+    count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+    CAST(sum(text_size + CASE WHEN opens THEN role_size + 4 + 7 ELSE 8 END) AS BIGINT) AS formatted_chars
+FROM known GROUP BY conv_id
+"""
+
+# Windows of 13 words (or a whole shorter item) in documents, by exact lists of words.
+CONTAMINATION_SQL = r"""
+WITH lower_case AS (
+    SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM lower_case
+), item_words AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
+), item_windows AS (
+    SELECT DISTINCT item_id, size, list_slice(w, at, at + size - 1) AS win
+    FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS at FROM item_words WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM item_windows),
+doc_windows AS (
+    SELECT doc_id, size, at, list_slice(w, at, at + size - 1) AS win
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS at FROM words, sizes WHERE len(w) >= size)
+), hits AS (
+    SELECT doc_id, at, d.size, item_id FROM doc_windows d JOIN item_windows i ON d.size = i.size AND d.win = i.win
+), hit_words AS (
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(at, at + size)) AS p FROM hits) GROUP BY doc_id
+), hit_items AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT words.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
+"""
+
+ORACLE_SQL = {"op5_decontamination": CONTAMINATION_SQL, "op10_chat": CHAT_SQL}
