@@ -28,7 +28,7 @@ QUERIES = {
 
 # The format's length: texts and roles with their escapes, and the marks around and between them.
 CHAT_SQL = """
-WITH rows AS (
+WITH given AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
     UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
@@ -37,7 +37,7 @@ WITH rows AS (
         length(text) + length(regexp_replace(text, '[^\\\\<|]', '', 'g')) AS text_size,
         length(role) + length(regexp_replace(role, '[^\\\\<|]', '', 'g')) AS role_size,
         lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) IS DISTINCT FROM role AS opens
-    FROM rows
+    FROM given
 )
 SELECT conv_id,
     count(*) AS n_turns,
@@ -58,16 +58,16 @@ WITH lower_case AS (
     SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
 ), item_windows AS (
-    SELECT DISTINCT item_id, size, list_slice(w, at, at + size - 1) AS win
-    FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS at FROM item_words WHERE len(w) > 0)
+    SELECT DISTINCT item_id, size, list_slice(w, place, place + size - 1) AS win
+    FROM (SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS place FROM item_words WHERE len(w) > 0)
 ), sizes AS (SELECT DISTINCT size FROM item_windows),
 doc_windows AS (
-    SELECT doc_id, size, at, list_slice(w, at, at + size - 1) AS win
-    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS at FROM words, sizes WHERE len(w) >= size)
+    SELECT doc_id, size, place, list_slice(w, place, place + size - 1) AS win
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS place FROM words, sizes WHERE len(w) >= size)
 ), hits AS (
-    SELECT doc_id, at, d.size, item_id FROM doc_windows d JOIN item_windows i ON d.size = i.size AND d.win = i.win
+    SELECT doc_id, place, d.size, item_id FROM doc_windows d JOIN item_windows i ON d.size = i.size AND d.win = i.win
 ), hit_words AS (
-    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(at, at + size)) AS p FROM hits) GROUP BY doc_id
+    SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(place, place + size)) AS p FROM hits) GROUP BY doc_id
 ), hit_items AS (
     SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
