@@ -4,15 +4,14 @@ The vector of a paragraph (a line with something in it) has two parts:
 
 * ``IDENTITY`` lanes of 32 bits hashed from the paragraph as a whole. Their sums are equal for
   equal multisets of paragraphs, in whatever order, and practically for no others.
-* ``4 * 16 * SEEDS`` lanes of 16 bits that sketch what the paragraph holds: each run of up to
+* ``3 * LANE * SEEDS`` lanes of LANE bits that sketch what the paragraph holds: each run of up to
   ``RUN`` words, counted from its start, adds a hashed bit to every lane. With the number of runs,
   a lane gives a sum of random signs, so the squared distance of two sketches estimates in how many
   runs the texts differ.
 
 Lanes only add up, so the fingerprint of a text after paragraphs were put in or taken out is the old
-one plus or minus theirs (:func:`added`); nothing else has to be read again. Lanes are packed four to
-a long; a lane with more than 65535 bits carries one into its neighbour, which changes an estimate
-by less than its own error.
+one plus or minus theirs (:func:`added`); nothing else has to be read again. Lanes are packed three to
+a long and added without carry from one to the next, each modulo 2^LANE.
 
 Only built-in expressions are used. Rows: a null text is empty (its lanes are 0 and two empty texts
 are alike: 1.0); rows of equal doc_id are ordered by text; a null doc_id has no next document and is
@@ -28,11 +27,14 @@ from tickbars.llm.tables import staged, table
 
 IDENTITY = 8
 SEEDS = 2
-RUN = 8
+RUN = 4
 WORD = 32
 BLOCK_BITS = 10
 
-_LANES = 0x0001000100010001
+LANE = 21
+_LANES = 1 | 1 << LANE | 1 << 2 * LANE
+_HIGH = _LANES << LANE - 1
+_LOW = _LANES * ((1 << LANE - 1) - 1)
 _EMPTY = "named_struct('identity', array_repeat(0L, {i}), 'lanes', array_repeat(0L, {n}), 'runs', 0L)"
 
 
@@ -44,21 +46,33 @@ def _summed(values: Column, value) -> Column:
     return F.aggregate(values, lit(0), lambda total, x: total + value(x))
 
 
+def _laned(hashes: Column, k: int) -> Column:
+    """Sum of the bits k, k + LANE and k + 2 LANE of the hashes, in lanes without carry."""
+    return F.aggregate(
+        hashes,
+        lit(0),
+        lambda total, h: (total.bitwiseAND(lit(_LOW)) + F.shiftright(h, k).bitwiseAND(lit(_LANES))).bitwiseXOR(
+            total.bitwiseAND(lit(_HIGH))
+        ),
+    )
+
+
 def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     """``rows`` with the fingerprint of the column ``text`` as the struct ``name``."""
     paragraphs = F.filter(F.split(F.col(text), "\n"), lambda p: p != "")
     runs = F.expr(f"regexp_extract_all({text}, r'(?:\\S{{1,{WORD}}}[^\\S\\n]*){{1,{RUN}}}', 0)")
     rows = rows.withColumn("_paragraphs", paragraphs).withColumn("_runs", runs)
     for seed in range(SEEDS):
-        rows = rows.withColumn(f"_h{seed}", F.transform("_runs", lambda x, seed=seed: F.xxhash64(F.lit(seed), x)))
+        # (A second parameter of the function would be the place in the array.)
+        rows = rows.withColumn(f"_h{seed}", F.expr(f"transform(_runs, x -> xxhash64({seed}, x))"))
     identity = [
         _summed(F.col("_paragraphs"), lambda p, k=k: F.shiftrightunsigned(F.xxhash64(F.lit(100 + k), p), 32))
         for k in range(IDENTITY)
     ]
     lanes = [
-        _summed(F.col(f"_h{seed}"), lambda h, k=k: F.shiftright(h, k).bitwiseAND(lit(_LANES)))
+        _laned(F.col(f"_h{seed}"), k)
         for seed in range(SEEDS)
-        for k in range(16)
+        for k in range(LANE)
     ]
     mark = F.struct(
         F.transform(F.array(*identity), lambda x: x.bitwiseAND(lit(0xFFFFFFFF))).alias("identity"),
@@ -73,8 +87,8 @@ def added(one: Column, other: Column, sign: int = 1) -> Column:
     when the paragraphs of ``other`` are taken out (-1)."""
 
     def lanes(x: Column, y: Column) -> Column:
-        # Four 16-bit sums at once: the upper bits are added without carry, the rest in between.
-        low, high = lit(0x7FFF7FFF7FFF7FFF), lit(-0x7FFF7FFF7FFF8000)
+        # Three sums at once: the upper bits of the lanes apart from the rest.
+        low, high = lit(_LOW), lit(_HIGH)
         if sign < 0:
             return (x.bitwiseOR(high) - y.bitwiseAND(low)).bitwiseXOR(x.bitwiseXOR(F.bitwise_not(y)).bitwiseAND(high))
         return (x.bitwiseAND(low) + y.bitwiseAND(low)).bitwiseXOR(x.bitwiseXOR(y).bitwiseAND(high))
@@ -91,9 +105,9 @@ def _square(lanes: Column, runs: Column) -> Column:
 
     def of(pair: Column) -> Column:
         total = None
-        for s in (0, 16, 32, 48):
-            x, y = (F.shiftrightunsigned(pair[side], s).bitwiseAND(lit(0xFFFF)) for side in ("x", "y"))
-            d = (F.pmod(2 * (x - y) - runs + 65536, lit(131072)) - 65536).cast("double")
+        for s in (0, LANE, 2 * LANE):
+            x, y = (F.shiftright(pair[side], s).bitwiseAND(lit((1 << LANE) - 1)) for side in ("x", "y"))
+            d = (F.pmod(2 * (x - y) - runs + (1 << LANE), lit(2 << LANE)) - (1 << LANE)).cast("double")
             total = d * d if total is None else total + d * d
         return total
 
@@ -161,7 +175,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     """Fingerprints of all texts and of their edited forms, and how alike they are."""
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = with_next(with_fingerprint(rows, "text", "mark"), ["text", "mark"])
-    empty = F.expr(_EMPTY.format(i=IDENTITY, n=16 * SEEDS))
+    empty = F.expr(_EMPTY.format(i=IDENTITY, n=LANE * SEEDS))
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("next_mark", F.coalesce("next_mark", empty))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(
