@@ -195,9 +195,9 @@ def spans_of(places: list[dict], starts: np.ndarray, ends: np.ndarray, hashes: n
 def deduplicated(documents: DataFrame) -> DataFrame:
     """``documents`` without repeated passages, with n_chars (of the new text), n_removed (code
     points cut out) and n_passages; these replace columns of the same names."""
-    found = repeats(documents)
+    found = repeats(documents).select(F.col("doc_id").alias("_id"), F.col("places").alias("_places"))
     kept = [c for c in documents.columns if c not in ("n_chars", "n_removed", "n_passages")]
-    rows = documents.select(*kept).join(found.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id").withColumnRenamed("places", "_places")
+    rows = documents.select(*kept).join(found, F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts, places = batch.column("text"), batch.column("_places").to_pylist()
