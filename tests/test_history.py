@@ -115,9 +115,9 @@ def test_window_bounds(spark):
 
 def test_partition_symbols(spark):
     frame = spark.createDataFrame([(0,), (1,), (1,), (9,)], "partition int")
-    named = history.with_partition_symbol(frame, {0: "2330", 1: "0050"})
+    named = history.with_partition_symbol(frame, {0: "A", 1: "B"}, "none")
     assert sorted(tuple(r) for r in named.collect()) == [
-        (0, "2330"), (1, "0050"), (1, "0050"), (9, "UNKNOWN_PARTITION"),
+        (0, "A"), (1, "B"), (1, "B"), (9, "none"),
     ]
     assert history.source_partitions(frame).count() == 3
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickbars.functions.columns import micros_to_time, to_long
+from tickbars.functions.columns import in_calendar, micros_to_time, to_long
 from tickbars.schemas import BAR, TICK
 
 TICK_FIELDS = (
@@ -85,16 +85,45 @@ def observed(rows: DataFrame, time: str, name: str) -> DataFrame:
     )
 
 
-def ticks_of(messages: DataFrame) -> DataFrame:
-    """The fields of tick messages that ``bars`` uses, each message parsed once."""
-    ticks = with_event_time(decode_ticks(messages, fields=TICK_FIELDS))
-    return observed(ticks, "time", "tick_quality")
+def _ahead(time: str, limit: str) -> Column:
+    """Whether an event lies further than ``limit`` ahead of its message's own timestamp."""
+    return F.coalesce(F.col(time) > F.col("timestamp") + F.expr(f"INTERVAL {limit}"), F.lit(False))
 
 
-def bars_of(messages: DataFrame, lenient: bool = False) -> DataFrame:
-    """The fields of bar messages that the averages use, each message parsed once."""
+def ticks_of(
+    messages: DataFrame, ahead: str | None = None, name: str = "tick_quality"
+) -> DataFrame:
+    """The fields of tick messages that ``bars`` uses, each message parsed once.
+
+    One event time far in the future moves the watermark there and makes all that
+    follows late. With ``ahead`` ("1 hour"), a tick further ahead of the timestamp
+    of its message loses its event time and is counted with those without one;
+    ``ahead_of_time`` gives these messages for an output of their own. ``name`` is
+    that of the metrics, which must differ where a query reads two topics.
+    """
+    keep = ("timestamp",) if ahead else ()
+    ticks = with_event_time(decode_ticks(messages, keep, TICK_FIELDS))
+    if ahead:
+        ticks = ticks.withColumn("time", F.when(~_ahead("time", ahead), F.col("time"))).drop("timestamp")
+    return observed(ticks, "time", name)
+
+
+def ahead_of_time(messages: DataFrame, ahead: str, name: str = "rejected_ticks") -> DataFrame:
+    """The tick messages (value, timestamp) that ``ticks_of`` refuses for lying too far ahead."""
+    time = F.get_json_object(F.col("value").cast("string"), "$.time")
+    rows = messages.withColumn("_time", micros_to_time(time)).where(_ahead("_time", ahead))
+    return rows.select("value", "timestamp").observe(name, F.count(F.lit(1)).alias("rows"))
+
+
+def bars_of(
+    messages: DataFrame, lenient: bool = False, name: str = "bar_quality"
+) -> DataFrame:
+    """The fields of bar messages that the averages use, each message parsed once.
+
+    A start outside the years 0001 to 9999 is no time and is counted as missing.
+    """
     rows = decode_bars(messages, lenient, fields=BAR_FIELDS)
-    return observed(rows, "start", "bar_quality")
+    return observed(rows.withColumn("start", in_calendar(F.col("start"))), "start", name)
 
 
 def encode(rows: DataFrame, keyed: bool = True) -> DataFrame:

@@ -95,18 +95,27 @@ def ntz_to_micros(ntz: Column) -> Column:
     return F.unix_micros(local.cast("timestamp"))
 
 
-def arrival_order() -> Column:
-    """One sortable number per tick: event time first, then serial.
-
-    The pair is packed into a decimal because aggregation buffers of fixed width
-    keep Spark on hash aggregation; a (time, serial) struct would make it sort
-    every tick before the map-side aggregation. A serial is any bigint, so
-    10**20 per microsecond keeps the order exact, and 18 digits of microseconds
-    still fit. Ticks without a numeric serial are told apart by a hash of their
-    content, so the outcome never depends on the order rows arrive in.
+def in_calendar(time: Column) -> Column:
+    """``time``, and null where it lies outside the years 0001 to 9999."""
+    return F.when(F.unix_micros(time).between(_MIN_MICROS, _MAX_MICROS), time)
+
+
+def arrival_order(size: str) -> Column:
+    """One sortable number per tick of a window of ``size``: time, serial, content.
+
+    All three are packed into a decimal because aggregation buffers of fixed width
+    keep Spark on hash aggregation; a struct would make it sort every tick before
+    the map-side aggregation. Of 38 digits the microsecond within the window has
+    12, which is eleven days, the serial (any bigint, moved up to be positive) 20,
+    and a hash of the content 6, so ticks of equal time and serial are told apart
+    whatever order they arrive in. A serial that is no number counts as the
+    hash of the content.
     """
-    content = F.xxhash64("serial", "type", "volume", "yesterday_price", "isContinuous")
-    serial = F.coalesce(F.col("serial").try_cast("bigint"), content)
-    step = F.lit("100000000000000000000").cast("decimal(21,0)")
-    micros = F.unix_micros("time").cast("decimal(18,0)")
-    return (micros * step + serial.cast("decimal(19,0)")).cast("decimal(38,0)")
+    content = F.xxhash64("serial", "type", "price", "size", "volume", "yesterday_price", "isContinuous")
+    length = F.unix_micros(F.expr(f"timestamp_seconds(0) + INTERVAL {size}"))
+    within = F.pmod(F.unix_micros("time"), length).cast("decimal(12,0)")
+    lowest = F.lit("9223372036854775808").cast("decimal(19,0)")
+    serial = F.coalesce(F.col("serial").try_cast("bigint"), content).cast("decimal(19,0)") + lowest
+    tie = F.pmod(content, F.lit(1_000_000)).cast("decimal(6,0)")
+    high = within * F.lit("100000000000000000000").cast("decimal(21,0)") + serial
+    return (high.cast("decimal(32,0)") * F.lit(1_000_000).cast("decimal(7,0)") + tie).cast("decimal(38,0)")

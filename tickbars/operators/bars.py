@@ -56,7 +56,7 @@ def bars(
     if watermark is not None:
         ticks = ticks.withWatermark("time", watermark)
     named = F.col("symbol").isNotNull()
-    order = arrival_order()
+    order = arrival_order(size)
     volume = (
         _last(F.col("volume"), order, is_trade())
         if ignore_heartbeats
@@ -64,7 +64,8 @@ def bars(
     )
     aggregates = [
         F.sum(from_trade(F.col("price") * F.col("size"))).alias("notional"),
-        F.sum(from_trade(F.col("size"))).alias("size_per_sec"),
+        # A sum beyond bigint is null: it must not stop a stream.
+        F.try_sum(from_trade(F.col("size"))).alias("size_per_sec"),
         volume.alias("volume_till_now"),
         F.max("time").alias("last_data_time"),
         F.count_if(is_trade() & named).alias("real_data_count"),

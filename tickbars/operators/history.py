@@ -210,7 +210,7 @@ def source_partitions(messages: DataFrame) -> DataFrame:
 
 
 def with_partition_symbol(
-    messages: DataFrame, symbols: Mapping[int, str], unknown: str = "UNKNOWN_PARTITION"
+    messages: DataFrame, symbols: Mapping[int, str], unknown: str
 ) -> DataFrame:
     """Add ``partition_symbol``, the symbol a source partition stands for.
 

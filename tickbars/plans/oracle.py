@@ -208,24 +208,20 @@ def _all() -> dict[str, str]:
     ) + f" WHERE vwap <> 0 {newest}"
     sql["partition_symbol"] = """
         SELECT CAST(user_id % 7 AS INTEGER) AS partition,
-               CASE user_id % 7 WHEN 0 THEN '2330' WHEN 1 THEN '0050' WHEN 2 THEN '00670L'
-                 WHEN 3 THEN '2454' WHEN 4 THEN '2603' ELSE 'UNKNOWN_PARTITION' END
+               CASE WHEN user_id % 7 < 5 THEN 'S' || (user_id % 7) ELSE 'none' END
                  AS partition_symbol,
                COUNT(*) AS ticks
         FROM events GROUP BY 1, 2"""
     sql["source_partitions"] = """
         SELECT DISTINCT CAST(user_id % 7 AS INTEGER) AS partition FROM events"""
 
-    # A stream has written the windows that end at or before its watermark.
-    seen = _watermark("ticks")
+    # A stream that was run to its end has written every window.
     sql["stream_bars"] = _bar(
         """symbol, sec AS start_s, size_per_sec, volume_till_now, real_data_count,
         filled_data_count, ROUND(vwap, 6) AS vwap_price_per_sec"""
-    ) + f" WHERE (sec + 1) * 1000000 <= {seen}"
-    sql["stream_sma"] = _line((5,), where=" WHERE st + 5 <= (SELECT MAX(sec) FROM bars) - 30")
-    sql["stream_chained"] = _line(
-        (5, 10, 15), where=f" WHERE (st + 15) * 1000000 <= {seen}"
     )
+    sql["stream_sma"] = _line((5,))
+    sql["stream_chained"] = sql["stream_sma_each"] = _line((5, 10, 15))
     on_time = _watermark("ticks WHERE event_type <> 'view'")
     sql["stream_late"] = (
         _with(
@@ -236,10 +232,11 @@ def _all() -> dict[str, str]:
       WHERE event_type <> 'view' OR (time_us // 1000000 + 1) * 1000000 > {on_time})""",
             _bars("kept"),
         )
-        + f"""
+        + """
         SELECT symbol, sec AS start_s, size_per_sec, real_data_count, filled_data_count
-        FROM bars WHERE (sec + 1) * 1000000 <= {seen}"""
+        FROM bars"""
     )
+    sql["bars_with_bad_messages"] = sql["stream_bars"]
     return sql
 
 

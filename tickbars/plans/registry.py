@@ -32,6 +32,7 @@ from tickbars.operators.sma import (
 from tickbars.plans.lines import sma_lines
 from tickbars.session import fresh_folder, stored
 from tickbars.sources.events import (
+    SYMBOLS,
     messages_from_events,
     read_events,
     stream_events,
@@ -39,13 +40,10 @@ from tickbars.sources.events import (
 )
 from tickbars.sources.files import stream_messages
 from tickbars.streaming.jobs import average_rows, bar_rows, chained_rows
-from tickbars.streaming.replay import replay, run_to_end
+from tickbars.streaming.replay import Ending, newest_event, replay, run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The symbol each source partition stands for.
-PARTITION_SYMBOLS = {0: "2330", 1: "0050", 2: "00670L", 3: "2454", 4: "2603"}
-
 PLACES = 6
 ALL_USERS = 10**12
 
@@ -294,7 +292,8 @@ def query_window_bounds(spark: SparkSession, folder: str) -> DataFrame:
 
 def query_partition_symbol(spark: SparkSession, folder: str) -> DataFrame:
     ticks = decode_ticks(messages_from_events(read_events(spark, folder)), keep=("partition",))
-    named = history.with_partition_symbol(ticks, PARTITION_SYMBOLS)
+    symbols = {number: f"S{number}" for number in range(SYMBOLS)}
+    named = history.with_partition_symbol(ticks, symbols, "none")
     return named.groupBy("partition", "partition_symbol").agg(F.count("*").alias("ticks"))
 
 
@@ -307,7 +306,7 @@ def query_source_partitions(spark: SparkSession, folder: str) -> DataFrame:
 
 def query_stream_bars(spark: SparkSession, folder: str) -> DataFrame:
     ticks = ticks_from_events(stream_events(spark, folder))
-    written = replay(bar_rows(ticks), "stream_bars")
+    written = replay(ticks, "time", bar_rows, "stream_bars")
     return _bar_view(
         written, "size_per_sec", "volume_till_now", "real_data_count", "filled_data_count",
         _six("vwap_price_per_sec"),
@@ -319,13 +318,55 @@ def query_stream_sma(spark: SparkSession, folder: str) -> DataFrame:
     topic = fresh_folder(spark, "bar_messages")
     encode(_bars(spark, folder)).write.parquet(topic)
     rows = bars_of(stream_messages(spark, topic))
-    return _line_view(replay(average_rows(rows, (5,), round_to=None), "stream_sma"))
+    return _line_view(
+        replay(rows, "start", lambda r: average_rows(r, (5,), round_to=None), "stream_sma")
+    )
 
 
 def query_stream_chained(spark: SparkSession, folder: str) -> DataFrame:
     """Ticks to averages of all durations in one query."""
     ticks = ticks_from_events(stream_events(spark, folder))
-    return _line_view(replay(chained_rows(ticks, round_to=None), "stream_chained"))
+    return _line_view(
+        replay(ticks, "time", lambda r: chained_rows(r, round_to=None), "stream_chained")
+    )
+
+
+def query_stream_sma_each(spark: SparkSession, folder: str) -> DataFrame:
+    """A query per duration, each with a source of its own."""
+    topic = fresh_folder(spark, "bar_messages")
+    encode(_bars(spark, folder)).write.parquet(topic)
+    lines = [
+        replay(
+            bars_of(stream_messages(spark, topic)), "start",
+            lambda r, d=d: average_rows(r, (d,), round_to=None), f"stream_sma_{d}",
+        )
+        for d in (5, 10, 15)
+    ]
+    return _line_view(lines[0].unionByName(lines[1]).unionByName(lines[2]))
+
+
+def query_bars_with_bad_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of messages between which bad ones stand: no JSON, wrong types, sizes beyond
+    bigint in a second of their own, absurd times, and one far ahead of its message."""
+    good = messages_from_events(read_events(spark, folder)).select("key", "value")
+    sent = F.timestamp_seconds(F.lit(1893456000))
+    bad = [
+        "not json", "[1]", '{"symbol":"S0","time":"never"}', '{"symbol":"S0","type":"trade","size":1}',
+        '{"symbol":"S0","type":"trade","price":1,"size":"x","time":"9999999999999999999"}',
+        '{"symbol":"S0","type":"trade","price":1,"size":1,"time":"253402300799999999"}',
+        *['{"symbol":"BAD","type":"trade","price":1,"size":9223372036854775807,"time":"1704067200000000"}'] * 2,
+    ]
+    topic = fresh_folder(spark, "tick_messages")
+    rows = good.unionByName(
+        spark.createDataFrame([(None, b) for b in bad], "key string, value string")
+    ).withColumn("timestamp", sent)
+    rows.write.parquet(topic)
+    ticks = ticks_of(stream_messages(spark, topic), ahead="1 hour")
+    written = replay(ticks, "time", bar_rows, "bad_messages").where("symbol <> 'BAD'")
+    return _bar_view(
+        written, "size_per_sec", "volume_till_now", "real_data_count", "filled_data_count",
+        _six("vwap_price_per_sec"),
+    )
 
 
 def query_stream_late(spark: SparkSession, folder: str) -> DataFrame:
@@ -336,8 +377,11 @@ def query_stream_late(spark: SparkSession, folder: str) -> DataFrame:
     views = F.col("event_type") == "view"
     for part in (events.where(~views), events.where(views)):
         part.write.mode("append").parquet(f"{run}/events.parquet")
-        rows = bar_rows(ticks_from_events(stream_events(spark, run)))
-        run_to_end(rows, f"{run}/out", f"{run}/state")
+        stream = Ending(ticks_from_events(stream_events(spark, run)), "time", f"{run}/end")
+        rows = bar_rows(stream.rows)
+        query = run_to_end(rows, f"{run}/out", f"{run}/state", "stream_late")
+    stream.close(newest_event(query))
+    run_to_end(rows, f"{run}/out", f"{run}/state", "stream_late")
     written = spark.read.schema(rows.schema).parquet(f"{run}/out")
     return _bar_view(written, "size_per_sec", "real_data_count", "filled_data_count")
 

@@ -23,43 +23,69 @@ def ma_label(seconds: int) -> str:
     return f"{seconds}_MA_data"
 
 
-_TYPES = {
-    "string": T.StringType(),
-    "double": T.DoubleType(),
-    "bigint": T.LongType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-}
+# The fields of the messages on the wire.
+TICK = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("exchange", T.StringType()),
+        T.StructField("market", T.StringType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("bid", T.DoubleType()),
+        T.StructField("ask", T.DoubleType()),
+        T.StructField("volume", T.LongType()),
+        T.StructField("isContinuous", T.BooleanType()),
+        T.StructField("time", T.StringType()),
+        T.StructField("serial", T.StringType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("channel", T.StringType()),
+        T.StructField("yesterday_price", T.DoubleType()),
+    ]
+)
 
+BAR = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("start", T.TimestampType()),
+        T.StructField("end", T.TimestampType()),
+        T.StructField("current_time", T.TimestampType()),
+        T.StructField("last_data_time", T.TimestampType()),
+        T.StructField("real_data_count", T.LongType()),
+        T.StructField("filled_data_count", T.LongType()),
+        T.StructField("real_or_filled", T.StringType()),
+        T.StructField("vwap_price_per_sec", T.DoubleType()),
+        T.StructField("size_per_sec", T.LongType()),
+        T.StructField("volume_till_now", T.LongType()),
+        T.StructField("yesterday_price", T.DoubleType()),
+        T.StructField("price_change_percentage", T.DoubleType()),
+    ]
+)
 
-def _schema(fields: str) -> T.StructType:
-    """A schema from "name type, name type"; unlike DDL it needs no running session."""
-    pairs = (field.split() for field in fields.split(","))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
-TICK = _schema("""
-    symbol string, type string, exchange string, market string,
-    price double, size bigint, bid double, ask double, volume bigint,
-    isContinuous boolean, time string, serial string, id string,
-    channel string, yesterday_price double
-""")
-
-BAR = _schema("""
-    symbol string, type string, start timestamp, end timestamp,
-    current_time timestamp, last_data_time timestamp,
-    real_data_count bigint, filled_data_count bigint, real_or_filled string,
-    vwap_price_per_sec double, size_per_sec bigint, volume_till_now bigint,
-    yesterday_price double, price_change_percentage double
-""")
-
-MA = _schema("""
-    symbol string, type string, MA_type string,
-    start timestamp, end timestamp, current_time timestamp,
-    sma_value double, sum_of_vwap double, count_of_vwap bigint,
-    window_data_count bigint, real_data_count bigint, filled_data_count bigint
-""")
+MA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("type", T.StringType()),
+        T.StructField("MA_type", T.StringType()),
+        T.StructField("start", T.TimestampType()),
+        T.StructField("end", T.TimestampType()),
+        T.StructField("current_time", T.TimestampType()),
+        T.StructField("sma_value", T.DoubleType()),
+        T.StructField("sum_of_vwap", T.DoubleType()),
+        T.StructField("count_of_vwap", T.LongType()),
+        T.StructField("window_data_count", T.LongType()),
+        T.StructField("real_data_count", T.LongType()),
+        T.StructField("filled_data_count", T.LongType()),
+    ]
+)
 
 # What a message source delivers; Kafka adds topic, offset and timestampType.
-ENVELOPE = _schema("key string, value string, timestamp timestamp")
-LINES = _schema("value string")
+ENVELOPE = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("timestamp", T.TimestampType()),
+    ]
+)
+LINES = T.StructType([T.StructField("value", T.StringType())])

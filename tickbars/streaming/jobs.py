@@ -7,7 +7,7 @@ bounded by the watermark plus the window length.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +16,6 @@ from tickbars.functions.codec import bars_of, ticks_of
 from tickbars.operators.bars import bars
 from tickbars.operators.sma import fill_bar_defaults, sma, sma_all
 from tickbars.schemas import DURATIONS
-from tickbars.session import shared_folder
 from tickbars.sinks import Sink
 
 WATERMARK = "30 seconds"
@@ -26,14 +25,14 @@ def start(
     rows: DataFrame,
     sink: Sink,
     name: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     trigger: dict[str, object] | None = None,
     output_mode: str = "append",
 ) -> StreamingQuery:
     """Start one query. ``trigger`` holds the arguments of ``DataStreamWriter.trigger``;
     without it the next micro-batch starts as soon as the last one ends.
 
-    Without ``checkpoint`` the query restarts from ``<shared folder>/<name>``.
+    ``checkpoint`` is a folder of this query alone that outlives the application.
     """
     writer = (
         sink.prepare(rows)
@@ -41,9 +40,7 @@ def start(
         .options(**sink.options)
         .outputMode(output_mode)
         .queryName(name)
-        .option(
-            "checkpointLocation", checkpoint or f"{shared_folder(rows.sparkSession)}/{name}"
-        )
+        .option("checkpointLocation", checkpoint)
     )
     if trigger:
         writer = writer.trigger(**trigger)
@@ -86,11 +83,16 @@ def chained_rows(
 
 
 def start_bars(
-    messages: DataFrame, sink: Sink, name: str = "bars", watermark: str = WATERMARK, **run: object
+    messages: DataFrame,
+    sink: Sink,
+    name: str = "bars",
+    watermark: str = WATERMARK,
+    ahead: str | None = None,
+    **run: object,
 ) -> StreamingQuery:
-    """Tick messages to bars. With ``output_mode="update"`` a bar is written as soon
+    """Tick messages to bars; ``ahead`` as in ``ticks_of``. With ``output_mode="update"`` a bar is written as soon
     as it changes, and again on every later change."""
-    return start(bar_rows(ticks_of(messages), watermark), sink, name, **run)
+    return start(bar_rows(ticks_of(messages, ahead), watermark), sink, name, **run)
 
 
 def start_averages(
@@ -119,7 +121,26 @@ def start_chained(
     durations: Sequence[int] = DURATIONS,
     watermark: str = WATERMARK,
     round_to: int | None = 2,
+    ahead: str | None = None,
     **run: object,
 ) -> StreamingQuery:
-    rows = chained_rows(ticks_of(messages), durations, watermark, round_to)
+    rows = chained_rows(ticks_of(messages, ahead), durations, watermark, round_to)
     return start(rows, sink, name, **run)
+
+
+def start_each(
+    messages: Callable[[], DataFrame],
+    sink: Callable[[int], Sink],
+    checkpoint: str,
+    durations: Sequence[int] = DURATIONS,
+    name: str = "averages",
+    **run: object,
+) -> list[StreamingQuery]:
+    """One query per duration, each with a source of its own from ``messages()``, so that a
+    short window does not wait for a longer one. ``sink`` takes the duration."""
+    return [
+        start_averages(
+            messages(), sink(d), f"{name}_{d}", (d,), checkpoint=f"{checkpoint}/{name}_{d}", **run
+        )
+        for d in durations
+    ]

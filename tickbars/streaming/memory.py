@@ -2,8 +2,10 @@
 
 State is three numbers per symbol. Python sees three numbers of each bar; the rest of
 the row passes by as one opaque column, and filler rows are made by Spark.
-Bars of a symbol have to come in time order from one micro-batch to the next, as
-they do from the bar job; within a batch any order will do. A micro-batch holds
+Gaps are measured from the newest second a symbol has had so far. So a bar that
+comes late or again has nothing filled before it, changes nothing that is
+remembered, and no second is filled twice; it is given as it is, also where its
+second was filled before. Within a batch any order will do. A micro-batch holds
 at most one bar per symbol and second of the time it spans, so the source's
 rate limit bounds what one symbol brings at a time.
 """
@@ -30,9 +32,12 @@ def _remember(
     rows = pd.concat(list(batches)).sort_values("second", ignore_index=True)
     before = rows["second"].shift(1)
     base = rows["base"].shift(1)
+    late = rows["second"] <= last_second if last_second is not None else rows["second"] != rows["second"]
     price = rows["price"].where(rows["price"] != 0).ffill()
     if last_second is not None:
-        before.iloc[0], base.iloc[0] = last_second, last_base
+        # Behind the newest second: also the first row after late ones is measured from it.
+        first = int(late.sum())
+        before.iloc[: first + 1], base.iloc[: first + 1] = last_second, last_base
     if last_price is not None:
         price = price.fillna(last_price)
     # A first bar, and one that came too late, has nothing to fill before it.
