@@ -32,17 +32,12 @@ def sma_lines(
     """The rows of ``sma`` for each duration, for a batch of bars.
 
     ``one_bar_per_second`` says that (symbol, second) is unique, which holds for
-    the result of ``bars``; otherwise rows of the same second are added up first.
+    the result of ``bars``; otherwise rows of the same second are added up within their slice.
     """
     durations = sorted(durations)
     reach = durations[-1] - 1
-    second = "unix_seconds(start) AS second"
-    if one_bar_per_second:
-        values = [f"{value} AS {name}" for name, value in MEASURES.items()]
-        per_second = bars.selectExpr("symbol", second, *values)
-    else:
-        sums = [F.expr(f"sum({value}) AS {name}") for name, value in MEASURES.items()]
-        per_second = bars.groupBy("symbol", F.expr(second)).agg(*sums)
+    values = [f"{value} AS {name}" for name, value in MEASURES.items()]
+    per_second = bars.selectExpr("symbol", "unix_seconds(start) AS second", *values)
 
     # A window belongs to the slice its start is in, so a bar goes to its own
     # slice and, near the beginning of it, to the one before as well.
@@ -50,7 +45,12 @@ def sma_lines(
         "*",
         f"explode(sequence(floor((second - {reach}) / {slice_seconds}),"
         f" floor(second / {slice_seconds}))) AS slice",
-    ).repartition("symbol", "slice").sortWithinPartitions("symbol", "slice", "second")
+    ).repartition("symbol", "slice")
+    if not one_bar_per_second:
+        # Rows of one second meet in their slice; adding them up needs no further shuffle.
+        sums = [F.sum(name).alias(name) for name in MEASURES]
+        sliced = sliced.groupBy("symbol", "slice", "second").agg(*sums)
+    sliced = sliced.sortWithinPartitions("symbol", "slice", "second")
     # Bars come in time order, so sums of prices always add up in the same order.
     # The partitioning above already brings each group of the aggregation together.
     first = f"greatest(second - {reach}, slice * {slice_seconds})"
