@@ -125,4 +125,32 @@ def test_partition_symbols(spark):
 def test_no_window_over_a_whole_symbol(rows):
     plan = history.carry_forward(rows)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
-    assert windows and all("_slice" in line for line in windows)
+    assert windows and all("_group" in line or "_closing" in line for line in windows)
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        history.window_rank,
+        history.carry_forward,
+        lambda r: history.previous(r, "volume_till_now", (1, 2), ("p", "q")),
+    ],
+)
+def test_whole_rows_are_shuffled_and_sorted_once(spark, rows, operator):
+    """Without broadcast joins, as on large tables: what else is shuffled is a row per slice."""
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = operator(rows)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    lines = plan.splitlines()
+    at = next(k for k, line in enumerate(lines) if "SortMergeJoin" in line)
+    depth = lines[at + 1].index(":- ")
+    end = next(k for k in range(at + 1, len(lines)) if lines[k][depth : depth + 3] == "+- ")
+    left = lines[at + 1 : end]  # the side of the whole rows
+    assert sum("Exchange hashpartitioning(_group" in line for line in left) == 1
+    assert sum(" Sort [" in line for line in left) == 1

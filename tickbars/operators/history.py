@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tickbars.functions.columns import change_percent, trade_label
 from tickbars.operators.bars import BAR_COLUMNS
 from tickbars.operators.slices import (
-    SLICE,
+    GROUP,
     SLICE_SECONDS,
     across,
     join_slices,
@@ -31,42 +31,48 @@ def window_rank(
     rows: DataFrame, keys: Sequence[str] = SYMBOL, slice_seconds: int = SLICE_SECONDS
 ) -> DataFrame:
     """Add ``rank``: the number of the row in the time order of its key, from 1."""
-    parts = sliced(rows, slice_seconds)
+    parts = sliced(rows, keys, slice_seconds)
     earlier = across(keys).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        parts.groupBy(*keys, SLICE)
+        parts.groupBy(GROUP)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, SLICE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select(GROUP, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    ranked = parts.withColumn("_rank", F.row_number().over(within(keys)))
-    joined = join_slices(ranked, offsets, keys)
+    ranked = parts.withColumn("_rank", F.row_number().over(within()))
+    joined = join_slices(ranked, offsets)
     return joined.withColumn("rank", F.col("_rank") + F.col("_before")).drop(
-        "_rank", "_before", SLICE
+        "_rank", "_before", GROUP
     )
 
 
 def previous(
     rows: DataFrame,
     column: str,
-    steps: int = 1,
-    name: str | None = None,
+    steps: int | Sequence[int] = 1,
+    name: str | Sequence[str] | None = None,
     keys: Sequence[str] = SYMBOL,
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Add the value ``column`` had ``steps`` rows ago; null where there is no such row."""
-    order = within(keys)
-    group = Window.partitionBy(*keys, SLICE)
-    parts = (
-        sliced(rows, slice_seconds)
-        .withColumn("_row", F.row_number().over(order))
-        .withColumn("_back", F.lag(column, steps).over(order))
-        .withColumn("_rows", F.count(F.lit(1)).over(group))
+    """Add the value ``column`` had ``steps`` rows ago; null where there is no such row.
+
+    Several steps, with a name each, cost one pass."""
+    every = [steps] if isinstance(steps, int) else list(steps)
+    names = [name or f"prev_{column}"] if isinstance(steps, int) else list(name)
+    most = max(every)
+    order = within()
+    group = Window.partitionBy(GROUP)
+    parts = sliced(rows, keys, slice_seconds).withColumns(
+        {
+            "_row": F.row_number().over(order),
+            **{f"_back_{k}": F.lag(column, k).over(order) for k in every},
+            "_rows": F.count(F.lit(1)).over(group),
+        }
     )
     # The first rows of a slice look into the last rows of the slices before it.
-    # Every slice in the table has a row, so `steps` slices back always suffice.
+    # Every slice in the table has a row, so `most` slices back always suffice.
     tails = (
-        parts.where(F.col("_rows") - F.col("_row") < steps)
-        .groupBy(*keys, SLICE)
+        parts.where(F.col("_rows") - F.col("_row") < most)
+        .groupBy(GROUP)
         .agg(
             F.sort_array(
                 F.collect_list(F.struct(F.col("_row"), F.col(column).alias("value")))
@@ -76,49 +82,51 @@ def previous(
     nothing = F.expr("array()").cast(tails.schema["_tail"].dataType)
     behind = [
         F.coalesce(F.lag("_tail", slices_back).over(across(keys)), nothing)
-        for slices_back in range(steps, 0, -1)
+        for slices_back in range(most, 0, -1)
     ]
-    carried = tails.select(*keys, SLICE, F.concat(*behind).alias("_earlier"))
-    joined = join_slices(parts, carried, keys)
-    looked_up = F.try_element_at("_earlier", (F.col("_row") - steps - 1).cast("int"))
-    value = F.when(F.col("_row") > steps, F.col("_back")).otherwise(looked_up["value"])
-    return joined.withColumn(name or f"prev_{column}", value).drop(
-        "_row", "_back", "_rows", "_earlier", SLICE
-    )
+    carried = tails.select(GROUP, F.concat(*behind).alias("_earlier"))
+    joined = join_slices(parts, carried)
+
+    def value(k: int) -> Column:
+        looked_up = F.try_element_at("_earlier", (F.col("_row") - k - 1).cast("int"))
+        return F.when(F.col("_row") > k, F.col(f"_back_{k}")).otherwise(looked_up["value"])
+
+    found = joined.withColumns({n: value(k) for n, k in zip(names, every, strict=True)})
+    return found.drop("_row", "_rows", "_earlier", GROUP, *[f"_back_{k}" for k in every])
 
 
 def carry_forward(bars: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Add ``carried_vwap``: the price of the bar, or the last price before it that was
     not 0, or yesterday's price when there was none."""
     price = F.nullif(F.col("vwap_price_per_sec"), F.lit(0.0))
-    parts = sliced(bars, slice_seconds)
-    so_far = within(SYMBOL).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = sliced(bars, SYMBOL, slice_seconds)
+    so_far = within().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = across(SYMBOL).rowsBetween(Window.unboundedPreceding, -1)
     closing = (
-        parts.groupBy(*SYMBOL, SLICE)
+        parts.groupBy(GROUP)
         .agg(F.max_by(price, F.when(price.isNotNull(), F.col("start"))).alias("_closing"))
         .select(
-            *SYMBOL, SLICE, F.last("_closing", ignorenulls=True).over(earlier).alias("_earlier")
+            GROUP, F.last("_closing", ignorenulls=True).over(earlier).alias("_earlier")
         )
     )
     seen = parts.withColumn("_seen", F.last(price, ignorenulls=True).over(so_far))
-    joined = join_slices(seen, closing, SYMBOL)
+    joined = join_slices(seen, closing)
     return joined.withColumn(
         "carried_vwap", F.coalesce("_seen", "_earlier", "yesterday_price")
-    ).drop("_seen", "_earlier", SLICE)
+    ).drop("_seen", "_earlier", GROUP)
 
 
 def gap_fill(bars: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Add the bar a heartbeat would have made for every silent second between the
     first and the last bar of a symbol."""
-    parts = sliced(bars, slice_seconds).withColumn("_second", F.unix_seconds("start"))
+    parts = sliced(bars, SYMBOL, slice_seconds).withColumn("_second", F.unix_seconds("start"))
     openings = (
-        parts.groupBy(*SYMBOL, SLICE)
+        parts.groupBy(GROUP)
         .agg(F.min("_second").alias("_opening"))
-        .select(*SYMBOL, SLICE, F.lead("_opening").over(across(SYMBOL)).alias("_later"))
+        .select(GROUP, F.lead("_opening").over(across(SYMBOL)).alias("_later"))
     )
-    following = parts.withColumn("_following", F.lead("_second").over(within(SYMBOL)))
-    joined = join_slices(following, openings, SYMBOL)
+    following = parts.withColumn("_following", F.lead("_second").over(within()))
+    joined = join_slices(following, openings)
 
     # From each bar up to the second before the next one.
     last = F.coalesce(F.col("_following") - 1, F.col("_later") - 1, F.col("_second"))

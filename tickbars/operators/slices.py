@@ -4,38 +4,42 @@ A window over all bars of a symbol puts them into one task, however many there
 are. These helpers order rows inside (symbol, slice) groups only, whose size is
 bounded by the slice length, and carry what the earlier slices leave behind in a
 table with one row per slice.
+
+The group is one struct column, used to partition windows, to aggregate and to join. A struct equals
+itself where a key in it is null, so the join keeps null keys and still finds the rows partitioned
+and sorted as the window before it left them: the whole table is shuffled and sorted once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 SLICE_SECONDS = 600
 SLICE = "_slice"
+GROUP = "_group"
 
 
-def sliced(rows: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """Add the number of the slice of time that ``start`` is in."""
-    return rows.withColumn(SLICE, F.floor(F.unix_seconds("start") / slice_seconds))
+def sliced(
+    rows: DataFrame, keys: Sequence[str], slice_seconds: int = SLICE_SECONDS
+) -> DataFrame:
+    """Add the group of each row: its keys and the number of the slice of time that ``start`` is in."""
+    number = F.floor(F.unix_seconds("start") / slice_seconds).alias(SLICE)
+    return rows.withColumn(GROUP, F.struct(*keys, number))
 
 
-def within(keys: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys, SLICE).orderBy("start")
+def within() -> WindowSpec:
+    return Window.partitionBy(GROUP).orderBy("start")
 
 
 def across(keys: Sequence[str]) -> WindowSpec:
     """Over the slice table: one row per slice, so it may be ordered per key."""
-    return Window.partitionBy(*keys).orderBy(SLICE)
+    key = F.struct(*[F.col(GROUP)[name].alias(name) for name in keys])
+    return Window.partitionBy(key).orderBy(F.col(GROUP)[SLICE])
 
 
-def join_slices(rows: DataFrame, slices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give each row the columns of its slice; null keys find each other too."""
-    on = [*keys, SLICE]
-    renamed = slices.withColumnsRenamed({name: f"_of_{name}" for name in on})
-    match: Column = F.lit(True)
-    for name in on:
-        match = match & F.col(name).eqNullSafe(F.col(f"_of_{name}"))
-    return rows.join(renamed, match, "left").drop(*[f"_of_{name}" for name in on])
+def join_slices(rows: DataFrame, slices: DataFrame) -> DataFrame:
+    """Give each row the columns of its slice."""
+    return rows.join(slices, GROUP, "left")

@@ -253,9 +253,8 @@ def query_window_rank(spark: SparkSession, folder: str) -> DataFrame:
 
 def query_prev_vwap(spark: SparkSession, folder: str) -> DataFrame:
     rows = stored(_bars(spark, folder), "bars")
-    one = history.previous(rows, "vwap_price_per_sec", 1, "prev_1")
-    two = history.previous(one, "vwap_price_per_sec", 2, "prev_2")
-    return _bar_view(two, _six("prev_1"), _six("prev_2"))
+    both = history.previous(rows, "vwap_price_per_sec", (1, 2), ("prev_1", "prev_2"))
+    return _bar_view(both, _six("prev_1"), _six("prev_2"))
 
 
 def query_carry_forward(spark: SparkSession, folder: str) -> DataFrame:
