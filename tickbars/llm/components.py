@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickbars.llm.tables import staged
+from tickbars.llm.tables import removed, staged
 
 LINK = "a long, b long"
 
@@ -33,7 +33,8 @@ def components(links: DataFrame) -> DataFrame:
     size = F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))
     before = None
     while True:
-        now = staged(_stars(_stars(now, False), True), "links")
+        old, now = now, staged(_stars(_stars(now, False), True), "links")
+        removed(old)
         state = tuple(now.agg(F.count("*"), size).first())
         if state == before or state[0] == 0:
             break

@@ -17,7 +17,7 @@ fragment; for a pair the overlaps of the parts are counted fragment by fragment
 
 Shingles and classes are known by 64-bit hashes. Rows: a null or empty text has an empty set and
 no links; a text shorter than a shingle is one shingle; rows that repeat a doc_id are reported
-once each; a null doc_id keeps a null component; an empty table gives no rows; other columns are
+once each; rows without doc_id have no links and no component; an empty table gives no rows; other columns are
 ignored.
 """
 
@@ -44,7 +44,7 @@ CELL_BITS = 22
 CHUNK_BITS = 16
 
 SETS = "doc_id long, v long, n int, prefix array<long>"
-PARTS = "v long, f int, part array<long>"
+PARTS = "v long, f int, n int, part array<long>"
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -105,11 +105,12 @@ def _named(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """The sets (doc_id, v, n; ``v`` names the class of equal sets) and the links (a, b) between
-    classes, enough of them to connect all that are connected."""
+def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sets (doc_id, v, n; ``v`` names the class of equal sets), the classes (v, least doc_id)
+    that are not empty, and the links (a, b) between classes, enough of them to connect all that are
+    connected."""
     spark = documents.sparkSession
-    documents = documents.select("doc_id", "text")
+    documents = documents.where("doc_id is not null").select("doc_id", "text")
     logs = sketch(documents, size)
     shared = spark.sparkContext.broadcast(logs)
 
@@ -126,6 +127,7 @@ def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.int64()), pa.array(counts, pa.int32()), lists], ["doc_id", "v", "n", "prefix"])
 
     sets = staged(wordhash.mapped(documents, prefixes, SETS), "sets")
+    classes = staged(sets.where("n > 0").groupBy("v").agg(F.min("doc_id").alias("least")), "classes")
     # One row for each class and shingle of its prefix; size and place share a column.
     rows = sets.select("v", "n", F.posexplode("prefix").alias("at", "token"))
     rows = rows.select("token", "v", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at").cast("long")).alias("size_at"))
@@ -148,7 +150,8 @@ def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
         return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
 
     starred = lists.where(may(F.col("size_at"), F.col("ps"))).select(*pair(F.col("v"), F.col("pv"))).distinct()
-    first = verified(documents, sets, starred, shared, size, percent)
+    starred = staged(starred, "pairs")
+    first = verified(documents, classes, starred, shared, size, percent)
     roots = components(first)
     # Every class of a list with its component.
     member = lists.select("token", "v", "size_at").unionByName(lists.select("token", F.col("pv").alias("v"), F.col("ps").alias("size_at"))).distinct()
@@ -161,64 +164,100 @@ def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     crossed = left.join(other, "token").where((F.col("lr") != F.col("root")) & ((F.col("root") == F.col("most")) | (F.col("lv") < F.col("v"))))
     crossed = crossed.where(may(F.col("ls"), F.col("size_at"))).select(*pair(F.col("lv"), F.col("v"))).distinct()
     crossed = crossed.join(starred, ["a", "b"], "left_anti")
-    second = verified(documents, sets, crossed, shared, size, percent)
-    return sets.drop("prefix"), first.unionByName(second)
+    crossed = staged(crossed, "pairs")
+    removed(lists, member, starred)
+    second = verified(documents, classes, crossed, shared, size, percent)
+    removed(crossed)
+    return sets.drop("prefix"), classes, first.unionByName(second)
 
 
-def verified(documents: DataFrame, sets: DataFrame, pairs: DataFrame, logs, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that reach the similarity: overlaps by fragment, summed."""
-    pairs = staged(pairs, "pairs")
+def _parts(documents: DataFrame, classes: DataFrame, wanted: DataFrame, logs, size: int, first: bool) -> DataFrame:
+    """(v, f, n, part): the first fragment of the classes ``wanted`` (v), or all behind it.
+
+    Only one document of a class is read for it, and which are comes as a bit field of fixed size
+    that may also hit others; those are joined away.
+    """
     cuts = fragment_cuts(logs.value, FRAGMENTS)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    field = bit_field(wanted, "v")  # of the classes that take part
-    flags = documents.sparkSession.sparkContext.broadcast(field)
+    named = wanted.join(classes.select("v", "least"), "v")
+    field = documents.sparkSession.sparkContext.broadcast(bit_field(named, "least"))
 
     def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        names, numbers, lists = [], [], []
-        bits = flags.value
+        names, numbers, counts, lists = [], [], [], []
+        batch = batch.filter(pa.array(may_have(field.value, batch.column("doc_id").to_numpy())))
         for _, _, _, _, words in wordhash.text_words(batch.column("text"), wordhash.NOT_SPACE):
             grams = shingle_set(words, size)
-            v = _named(grams)
-            if not len(grams) or not may_have(bits, np.array([v]))[0]:
-                continue
             keys = ordered(grams, logs.value)
             ends = [0, *np.searchsorted(keys, cuts).tolist(), len(keys)]
-            for f, (x, y) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-                if x < y:
-                    names.append(v)
+            for f in range(1) if first else range(1, FRAGMENTS):
+                if first or ends[f] < ends[f + 1]:
+                    names.append(_named(grams))
                     numbers.append(f)
-                    lists.append(keys[x:y])
+                    counts.append(len(grams))
+                    lists.append(keys[ends[f] : ends[f + 1]])
         if names:
             offsets = np.cumsum([0, *map(len, lists)])
             column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(lists)))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(numbers, pa.int32()), column], ["v", "f", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(numbers, pa.int32()), pa.array(counts, pa.int32()), column], ["v", "f", "n", "part"])
+
+    taken = wordhash.mapped(documents, parts, PARTS).join(wanted, "v", "left_semi")
+    return staged(taken.groupBy("v", "f").agg(F.first("n").alias("n"), F.first("part").alias("part")), "parts")
+
+
+def verified(documents: DataFrame, classes: DataFrame, pairs: DataFrame, logs, size: int, percent: int) -> DataFrame:
+    """Those of the written pairs (a, b) of classes that reach the similarity: overlaps by fragment,
+    summed.
+
+    The overlap of the first fragment comes first, with the sizes of the rest as a bound; so only
+    pairs that can still reach the similarity have their other fragments counted.
+    """
 
-    taken = wordhash.mapped(documents.select("text"), parts, PARTS)
-    cut = staged(taken.groupBy("v", "f").agg(F.first("part").alias("part")), "parts")
+    def sides(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return tuple(
+            cut.select(F.col("v").alias(x), "f", F.col("n").cast("long").alias(f"n{x}"), F.col("part").alias(f"part_{x}"))
+            for x in ("a", "b")
+        )
+
+    def wanted(rows: DataFrame) -> DataFrame:
+        return rows.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+
+    cut = _parts(documents, classes, wanted(pairs), logs, size, True)
+    one, two = sides(cut)
+    both = pairs.join(one.drop("f"), "a").join(two.drop("f"), "b")
+    both = both.withColumn("common", F.size(F.array_intersect("part_a", "part_b")).cast("long"))
+    rest = F.least(F.col("na") - F.size("part_a"), F.col("nb") - F.size("part_b"))
+    able = both.where((100 + percent) * (F.col("common") + rest) >= percent * (F.col("na") + F.col("nb")))
+    able = staged(able.select("a", "b", "na", "nb", "common"), "pairs")
+    others = _parts(documents, classes, wanted(able), logs, size, False)
     # Every pair in every fragment, so that a class with many partners is spread over them.
-    spread = pairs.select("a", "b", F.explode(F.array([F.lit(f) for f in range(FRAGMENTS)])).alias("f"))
-    one = spread.join(cut.select(F.col("v").alias("a"), "f", F.col("part").alias("one")), ["a", "f"])
-    both = one.join(cut.select(F.col("v").alias("b"), "f", F.col("part").alias("two")), ["b", "f"])
-    partial = both.select("a", "b", F.size(F.array_intersect("one", "two")).alias("common"))
-    common = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
-    n = sets.groupBy("v").agg(F.first("n").cast("long").alias("n"))
-    known = common.join(n.select(F.col("v").alias("a"), F.col("n").alias("na")), "a").join(n.select(F.col("v").alias("b"), F.col("n").alias("nb")), "b")
-    return staged(known.where(f"100 * common >= {percent} * (na + nb - common)").select("a", "b"), "similar")
+    spread = able.select("a", "b", F.explode(F.array([F.lit(f) for f in range(1, FRAGMENTS)])).alias("f"))
+    one, two = (x.drop("na", "nb") for x in sides(others))
+    partial = spread.join(one, ["a", "f"]).join(two, ["b", "f"])
+    partial = partial.select("a", "b", F.size(F.array_intersect("part_a", "part_b")).cast("long").alias("common"))
+    summed = partial.unionByName(able.select("a", "b", "common")).groupBy("a", "b").agg(F.sum("common").alias("common"))
+    known = summed.join(able.select("a", "b", "na", "nb"), ["a", "b"])
+    links = staged(known.where(f"100 * common >= {percent} * (na + nb - common)").select("a", "b"), "similar")
+    removed(cut, able, others)
+    return links
 
 
 def groups(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    sets, links = similar(documents, size, percent)
-    least = sets.where("n > 0").groupBy("v").agg(F.min("doc_id").alias("least"))
+    sets, classes, links = similar(documents, size, percent)
     roots = components(links)
     # The smallest doc_id of each component of classes.
-    classes = least.join(roots, least.v == roots.node, "left").select("v", "least", F.coalesce("root", "v").alias("root"))
+    classes = classes.join(roots, classes.v == roots.node, "left").select("v", "least", F.coalesce("root", "v").alias("root"))
     classes = staged(classes, "classes")
     lowest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(lowest, "root").select("v", "component_id")
     found = sets.join(named, "v", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    found = found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+    def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n = [len(shingle_set(words, size)) for _, _, _, _, words in wordhash.text_words(batch.column("text"), wordhash.NOT_SPACE)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), batch.column("doc_id")], ["doc_id", "n_shingles", "component_id"])
+
+    lost = documents.where("doc_id is null").select("doc_id", "text")
+    return found.unionByName(wordhash.mapped(lost, count, "doc_id long, n_shingles long, component_id long"))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
