@@ -156,6 +156,8 @@ def repeats(documents: DataFrame) -> DataFrame:
     hits = wordhash.mapped(rows, places, PLACES).join(several, "digest")
     hits = staged(hits, "places")
     origin = hits.where("doc_id = first").groupBy("digest", "second").agg(F.min(F.struct("start", "around"))["around"].alias("around"))
+    # Written, so that the join below deals both sides anew and Spark can split a frequent chunk.
+    origin = staged(origin, "origins")
     later = hits.where("doc_id > first").drop("around").join(origin, ["digest", "second"])
     return later.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "stop", "around"))).alias("places"))
 
