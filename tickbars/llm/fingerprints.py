@@ -4,7 +4,7 @@ The vector of a paragraph (a line with something in it) has two parts:
 
 * ``IDENTITY`` lanes of 32 bits hashed from the paragraph as a whole. Their sums are equal for
   equal multisets of paragraphs, in whatever order, and practically for no others.
-* ``3 * LANE * SEEDS`` lanes of LANE bits that sketch what the paragraph holds: each run of up to
+* ``3 * SHIFTS * SEEDS`` lanes of LANE bits that sketch what the paragraph holds: each run of up to
   ``RUN`` words, counted from its start, adds a hashed bit to every lane. With the number of runs,
   a lane gives a sum of random signs, so the squared distance of two sketches estimates in how many
   runs the texts differ.
@@ -20,6 +20,8 @@ edited with an empty one; an empty table gives no rows; other columns are ignore
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +29,13 @@ from tickbars.llm.tables import staged, table
 
 IDENTITY = 8
 SEEDS = 2
-RUN = 4
+RUN = 8
 WORD = 32
 BLOCK_BITS = 10
 
-LANE = 21
+# Lanes of 21 bits, three to a long; of the bits of a hash, the first SHIFTS of each lane count.
+LANE, SHIFTS = 21, 16
+STEP = 1 << 20
 _LANES = 1 | 1 << LANE | 1 << 2 * LANE
 _HIGH = _LANES << LANE - 1
 _LOW = _LANES * ((1 << LANE - 1) - 1)
@@ -46,15 +50,24 @@ def _summed(values: Column, value) -> Column:
     return F.aggregate(values, lit(0), lambda total, x: total + value(x))
 
 
+def _plus(x: Column, y: Column) -> Column:
+    """Three sums at once, without carry: the upper bits of the lanes apart from the rest."""
+    low, high = lit(_LOW), lit(_HIGH)
+    return (x.bitwiseAND(low) + y.bitwiseAND(low)).bitwiseXOR(x.bitwiseXOR(y).bitwiseAND(high))
+
+
 def _laned(hashes: Column, k: int) -> Column:
-    """Sum of the bits k, k + LANE and k + 2 LANE of the hashes, in lanes without carry."""
-    return F.aggregate(
-        hashes,
-        lit(0),
-        lambda total, h: (total.bitwiseAND(lit(_LOW)) + F.shiftright(h, k).bitwiseAND(lit(_LANES))).bitwiseXOR(
-            total.bitwiseAND(lit(_HIGH))
-        ),
-    )
+    """Sum of the bits k, k + LANE and k + 2 LANE of the hashes, in lanes.
+
+    Up to STEP hashes no lane can overflow and plain sums do; their results are added without carry.
+    """
+
+    def step(values: Column) -> Column:
+        return _summed(values, lambda h: F.shiftright(h, k).bitwiseAND(lit(_LANES)))
+
+    steps = F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / STEP).cast("int"))
+    many = F.aggregate(steps, lit(0), lambda total, n: _plus(total, step(F.slice(hashes, n * STEP + 1, F.lit(STEP)))))
+    return F.when(F.size(hashes) <= STEP, step(hashes)).otherwise(many)
 
 
 def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
@@ -72,7 +85,7 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     lanes = [
         _laned(F.col(f"_h{seed}"), k)
         for seed in range(SEEDS)
-        for k in range(LANE)
+        for k in range(SHIFTS)
     ]
     mark = F.struct(
         F.transform(F.array(*identity), lambda x: x.bitwiseAND(lit(0xFFFFFFFF))).alias("identity"),
@@ -87,11 +100,10 @@ def added(one: Column, other: Column, sign: int = 1) -> Column:
     when the paragraphs of ``other`` are taken out (-1)."""
 
     def lanes(x: Column, y: Column) -> Column:
-        # Three sums at once: the upper bits of the lanes apart from the rest.
-        low, high = lit(_LOW), lit(_HIGH)
         if sign < 0:
+            low, high = lit(_LOW), lit(_HIGH)
             return (x.bitwiseOR(high) - y.bitwiseAND(low)).bitwiseXOR(x.bitwiseXOR(F.bitwise_not(y)).bitwiseAND(high))
-        return (x.bitwiseAND(low) + y.bitwiseAND(low)).bitwiseXOR(x.bitwiseXOR(y).bitwiseAND(high))
+        return _plus(x, y)
 
     return F.struct(
         F.zip_with(one["identity"], other["identity"], lambda x, y: (x + sign * y).bitwiseAND(lit(0xFFFFFFFF))).alias("identity"),
@@ -151,31 +163,30 @@ def _next_firsts(documents: DataFrame) -> DataFrame:
     return blocks.withColumn("lead", F.lead("first").over(inner)).join(uppers, "upper").select("block", F.coalesce("lead", "behind").alias("first"))
 
 
-def with_next(documents: DataFrame, columns: list[str]) -> DataFrame:
-    """``documents`` with ``columns`` of the document that follows by doc_id, as ``next_*``.
+def with_next(documents: DataFrame, columns: list[str], more: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``more(documents)`` with ``columns`` of the document that follows by doc_id, as ``next_*``.
 
     Blocks of 2^BLOCK_BITS consecutive ids are windows of bounded size; the one document behind a
-    block comes from a table with a row for each block.
+    block comes from a table with a row for each block. ``more`` adds columns row by row.
     """
     rows = documents.withColumn("block", F.shiftright("doc_id", BLOCK_BITS))
     links = staged(_next_firsts(rows.where("doc_id is not null").select("doc_id", "block")), "blocks")
-    behind = rows.join(links.select(F.col("first").alias("doc_id"), F.col("block").alias("before")), "doc_id")
+    behind = more(rows.drop("block").join(links.select(F.col("first").alias("doc_id"), F.col("block").alias("before")), "doc_id"))
     behind = behind.groupBy("before").agg(F.min(F.struct(*columns)).alias("behind")).withColumnRenamed("before", "block")
     order = Window.partitionBy("block").orderBy("doc_id", "text")
-    known = rows.where("doc_id is not null").withColumn("lead", F.lead(F.struct(*columns)).over(order))
-    known = known.join(behind, "block", "left").withColumn("next", F.coalesce("lead", "behind"))
-    known = known.select(*documents.columns, *[F.col(f"next.{c}").alias(f"next_{c}") for c in columns])
-    lost = documents.where("doc_id is null").select(
-        *documents.columns, *[F.lit(None).cast(documents.schema[c].dataType).alias(f"next_{c}") for c in columns]
-    )
+    known = more(rows.where("doc_id is not null")).withColumn("lead", F.lead(F.struct(*columns)).over(order))
+    known = known.join(behind, "block", "left").withColumn("next", F.coalesce("lead", "behind")).drop("block", "lead", "behind")
+    known = known.select(*[c for c in known.columns if c != "next"], *[F.col(f"next.{c}").alias(f"next_{c}") for c in columns])
+    lost = more(documents.where("doc_id is null"))
+    lost = lost.select("*", *[F.lit(None).cast(known.schema[c].dataType).alias(f"next_{c}") for c in columns])
     return known.unionByName(lost)
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
     """Fingerprints of all texts and of their edited forms, and how alike they are."""
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(with_fingerprint(rows, "text", "mark"), ["text", "mark"])
-    empty = F.expr(_EMPTY.format(i=IDENTITY, n=LANE * SEEDS))
+    rows = with_next(rows, ["text", "mark"], lambda x: with_fingerprint(x, "text", "mark"))
+    empty = F.expr(_EMPTY.format(i=IDENTITY, n=SHIFTS * SEEDS))
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("next_mark", F.coalesce("next_mark", empty))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(
