@@ -32,6 +32,7 @@ from tickbars.llm.tables import staged, table
 
 CAPACITY = 4096
 GROUP_TOKENS = 1 << 20
+SLOT_BITS = 20
 END = 2
 TOKENIZER = "word_bpe_49k.json"
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
@@ -58,8 +59,8 @@ _ALPHABET = {b: chr(b) if b in _SHOWN else chr(0x100 + sum(x not in _SHOWN for x
 class UnitTokens:
     """Ids of text units, kept in a table of fixed size that new units overwrite."""
 
-    SLOTS = 1 << 21
-    POOL = 1 << 24
+    SLOTS = 1 << SLOT_BITS
+    POOL = 1 << 22
     LONGEST = 256
 
     def __init__(self, path: str):
@@ -108,7 +109,7 @@ class UnitTokens:
         end &= kind != 0
         ends = np.flatnonzero(end) + 1
         hashes = wordhash.span_hashes(data, starts, ends) | np.uint64(1)
-        slot = (hashes >> np.uint64(43)).astype(np.int64)
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         at, size = self.at[slot], self.size[slot].astype(np.int64)
         new = np.flatnonzero(self.keys[slot] != hashes)
         pool = self.pool

@@ -17,8 +17,17 @@ from tickbars.session import stored
 FOLDS = 5
 
 
+#: Rows of an Arrow batch, where the session has Spark's own 10000: texts are long, and a task holds
+#: a batch several times over.
+BATCH_ROWS = 1000
+
+
 def shipped(spark: SparkSession) -> None:
-    """Send this package to the executors, as ``--py-files`` does, once for each application."""
+    """Make a session ready for this package's tasks: batches of a size fit for texts, and, once for
+    each application, the package on the executors, as ``--py-files`` does it."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch) == "10000":
+        spark.conf.set(batch, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_tickbars_shipped", False):
         return

@@ -30,6 +30,7 @@ from tickbars.llm.tables import table
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 PENALTY = 10.0
+SLOT_BITS = 20
 COUNTS = "doc_id long, n_tokens long, score double"
 
 
@@ -45,7 +46,7 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
 class Viterbi:
     """Best score and number of pieces of strings."""
 
-    SLOTS = 1 << 21
+    SLOTS = 1 << SLOT_BITS
     LONGEST = 256
 
     def __init__(self, pieces: list[tuple[str, float]]):
@@ -91,7 +92,7 @@ class Viterbi:
     def units(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts and scores of spans of ``data``, each behind a space if ``spaced``."""
         hashes = wordhash.mix(wordhash.span_hashes(data, starts, ends, wordhash.EXACT[0]) + spaced.astype(np.uint64)) | np.uint64(1)
-        slot = (hashes >> np.uint64(43)).astype(np.int64)
+        slot = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         count, score = self.count[slot].astype(np.int64), self.score[slot]
         new = np.flatnonzero(self.keys[slot] != hashes)
         if len(new):

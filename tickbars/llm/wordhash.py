@@ -149,5 +149,6 @@ def mapped(frame, function, schema: str):
         for batch in batches:
             if batch.num_rows:
                 yield from function(batch)
+        pa.default_memory_pool().release_unused()  # workers live on, and hold what they ever needed
 
     return frame.mapInArrow(run, schema)
