@@ -85,6 +85,41 @@ def test_substrings_find_every_long_passage(spark):
     assert sum(found) >= 59
 
 
+def without_passages(rows):
+    """What brute force leaves: (doc_id, words left, passages cut out) of each row."""
+    first = {}
+    split = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
+    for i, w in split:
+        for k in range(len(w) - 49 if i is not None else 0):
+            first[tuple(w[k : k + 50])] = min(i, first.get(tuple(w[k : k + 50]), i))
+    for i, w in split:
+        gone = set()
+        for k in range(len(w) - 49 if i is not None else 0):
+            if first[tuple(w[k : k + 50])] < i:
+                gone.update(range(k, k + 50))
+        yield i, tuple(x for k, x in enumerate(w) if k not in gone), sum(k - 1 not in gone for k in gone)
+
+
+def substrings_left(spark, rows):
+    return collections.Counter((r.doc_id, tuple(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")), r.n_passages) for r in substrings.deduplicated(frame(spark, rows)).collect())
+
+
+def test_substrings_whose_pieces_occur_earlier_elsewhere(spark):
+    """Pieces of a shared passage, of 3 to 30 words, stand in many documents before it."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(40):
+        passage = prose(rng, rng.randint(60, 100))
+        words = passage.split()
+        for j in range(30):
+            at, n = rng.randrange(len(words) - 3), rng.randint(3, 30)
+            rows.append((100 * k + j, f"{prose(rng, 20)} {' '.join(words[at : at + n])} {prose(rng, 20)}"))
+        rows += [(100 * k + 50 + j, f"{prose(rng, rng.randint(0, 30))} {passage} {prose(rng, rng.randint(0, 30))}") for j in range(2)]
+    got = substrings_left(spark, rows)
+    assert got == collections.Counter(without_passages(rows))
+    assert sum(n for *_, n in got) == 40
+
+
 def test_packing(spark, documents, nothing):
     from tokenizers import Tokenizer
 

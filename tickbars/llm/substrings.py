@@ -1,19 +1,19 @@
-"""Removing repeated passages by content-defined chunking.
+"""Removing repeated passages by content-defined anchors.
 
-A gear hash rolls over the bytes of a text. A word after which it is small ends a chunk, unless the
-chunk is shorter than ``LEAST`` words; a chunk of ``MOST`` words ends in any case. So cuts depend on
-the text around them only, and the same passage gives the same chunks wherever it stands.
+A gear hash rolls over the words of a text. The anchor of ``PASSAGE`` words in a row is the least
+hash inside them. So an anchor depends on these words only, every passage has one, and the same
+passage has the same anchor wherever it stands.
 
-A chunk repeats if its digest occurs in a document of smaller doc_id. The words around
-its first occurrence are carried along as short hashes: they tell which chunks are neighbours there
-too, and so form a run, and they extend a run word by word at both ends. A run
-of at least ``PASSAGE`` words is cut out. The first document keeps it, so do
-all shorter repeats.
+Anchors are shuffled once, with the smallest and largest doc_id of each (hash aggregation, combined
+before the shuffle, so a passage in many documents is no hot key); which of them several documents
+have comes back as a bit field of fixed size. Every window of ``PASSAGE`` words with such an anchor
+is then named by two digests of all its words, and aggregated to the smallest doc_id that has this
+window. So each window finds the first document that holds the whole of it, wherever parts of it
+occur before. A window repeats if that document is an earlier one; the words of all repeating windows
+are cut out. The first document keeps them, and so stay all shorter repeats.
 
-Digests are shuffled once, with the smallest and largest doc_id of each (hash aggregation, combined
-before the shuffle, so a passage in many documents is no hot key); which chunks may repeat comes back
-as a bit field of fixed size, and only those are shuffled again, by a second digest that is compared
-in full. Nothing is limited or left out: the bit field only saves work.
+Nothing is limited or left out: anchors and bit field only save work. Words are equal if their bytes
+are, whatever white space is between them.
 
 Rows: a null text stays null; rows without doc_id and rows that repeat a doc_id are no other
 document for each other and stay as they are; an empty table gives no rows; other columns are kept.
@@ -32,65 +32,43 @@ from tickbars.llm import wordhash
 from tickbars.llm.tables import bit_field, may_have, staged, table
 
 PASSAGE = 50
-LEAST, MEAN, MOST = 3, 6, 24
-AROUND = 24
+# The gear hash of a word takes in the word and the 15 before it, 4 bits for each.
+ROLLED, BITS = 16, 4
 
-_GEAR = np.random.default_rng(11).integers(0, 1 << 32, 256, dtype=np.uint32)
-
-CHUNKS = "digest long, doc_id long"
-PLACES = "digest long, second long, doc_id long, start int, stop int, around binary"
+ANCHORS = "anchor long, doc_id long"
+WINDOWS = "digest long, second long, doc_id long"
 RESULT = "n_chars long, n_removed long, n_passages int"
 
 
-def gear(data: np.ndarray) -> np.ndarray:
-    """The rolling hash at each byte, of it and the 31 bytes before it."""
-    rolled = _GEAR[data]
-    for step in (1, 2, 4, 8, 16):
-        rolled[step:] += rolled[:-step] << np.uint32(step)
-    return rolled
-
-
-def cuts(rolled: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Numbers of the words that begin a chunk, and the number of words."""
-    n = len(ends)
-    if not n:
-        return np.zeros(1, np.int64)
-    out, last = [0], 0
-    for x in (np.flatnonzero(rolled[ends - 1] < (1 << 32) // MEAN) + 1).tolist():
-        if x - last < LEAST:
-            continue
-        while x - last > MOST:
-            last += MOST
-            out.append(last)
-        if x > last:
-            out.append(x)
-            last = x
-    while n - last > MOST:
-        last += MOST
-        out.append(last)
-    if out[-1] != n:
-        out.append(n)
-    return np.array(out)
-
-
-def chunks(texts: pa.Array) -> Iterator[tuple]:
-    """Row, bytes, word starts, word ends, word hashes and chunk bounds (as words) of each text."""
-    for low, high, data, rows in wordhash.slices(texts):
-        starts, ends, hashes = wordhash.words(data, wordhash.NOT_SPACE)
-        at = np.searchsorted(starts, rows)
-        for k in range(high - low):
-            own = data[rows[k] : rows[k + 1] - 1]
-            part = slice(at[k], at[k + 1])
-            e = ends[part] - rows[k]
-            yield low + k, own, starts[part] - rows[k], e, hashes[part], cuts(gear(own), e)
-
-
-def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
-    """Two digests of each chunk, from its first word to its last."""
-    if len(bounds) < 2:
-        return [np.zeros(0, np.uint64)] * 2
-    first, last = starts[bounds[:-1]], ends[bounds[1:] - 1]
-    return [_spans(data, first, last, value) for value in wordhash.EXACT]
+def gear(words: np.ndarray) -> np.ndarray:
+    """The rolling hash at each word that has ROLLED - 1 words before it."""
+    rolled, step = words.copy(), 1
+    while step < ROLLED:
+        rolled = rolled[step:] + (rolled[:-step] << np.uint64(BITS * step))
+        step *= 2
+    return wordhash.mix(rolled)
+
+
+def anchors(words: np.ndarray) -> np.ndarray:
+    """The anchor of each window of PASSAGE words, by its first word."""
+    if len(words) < PASSAGE:
+        return np.zeros(0, np.uint64)
+    least, width, wanted = gear(words), 1, PASSAGE - ROLLED + 1
+    while width < wanted:
+        step = min(width, wanted - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    return least
+
+
+def _texts(texts: pa.Array) -> Iterator[tuple]:
+    """``wordhash.text_words``, where capital letters are not small ones."""
+    return wordhash.text_words(texts, wordhash.NOT_SPACE, wordhash.EXACT[0])
+
+
+def _seconds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The second digest of each window of PASSAGE words."""
+    return wordhash.shingles(_spans(data, starts, ends, wordhash.EXACT[1]), PASSAGE)
 
 
 def _spans(data: np.ndarray, first: np.ndarray, last: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -106,113 +84,72 @@ def _spans(data: np.ndarray, first: np.ndarray, last: np.ndarray, value: np.ndar
     return np.concatenate(out)
 
 
-def _short(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(48)).astype(np.uint16)
-
-
 def repeats(documents: DataFrame) -> DataFrame:
-    """(doc_id, places) of the documents with chunks that an earlier document has; a place is
-    (start, stop, around): words, and the short hashes around the first occurrence."""
-
-    def all_chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = batch.column("doc_id")
-        found, rows = [], []
-        for row, data, starts, ends, _, bounds in chunks(batch.column("text")):
-            one = np.unique(digests(data, starts, ends, bounds)[0])
+    """(doc_id, windows) of the documents with windows that an earlier document has; a window is
+    known by its second digest."""
+
+    def all_anchors(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for row, _, _, _, words in _texts(batch.column("text")):
+            one = np.unique(anchors(words))
             found.append(one)
             rows.append(np.full(len(one), row))
-        names = np.concatenate(found).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(names), keys.take(pa.array(np.concatenate(rows)))], ["digest", "doc_id"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), batch.column("doc_id").take(pa.array(np.concatenate(rows)))], ["anchor", "doc_id"])
 
     rows = documents.where("doc_id is not null").select("doc_id", "text")
-    first = wordhash.mapped(rows, all_chunks, CHUNKS).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    several = staged(first.where("first < last").select("digest", "first"), "chunks")
-    field = rows.sparkSession.sparkContext.broadcast(bit_field(several, "digest"))
-
-    def places(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = batch.column("doc_id")
-        out: list[list] = [[], [], [], [], [], []]
-        for row, data, starts, ends, hashes, bounds in chunks(batch.column("text")):
-            one, two = digests(data, starts, ends, bounds)
-            hit = np.flatnonzero(may_have(field.value, one.view(np.int64)))
-            if not len(hit):
-                continue
-            short = _short(hashes)
-            edge = np.zeros(len(short) + 2 * AROUND, np.uint16)
-            edge[AROUND:-AROUND] = short
-            for c in hit.tolist():
-                a, b = int(bounds[c]), int(bounds[c + 1])
-                out[5].append(edge[a : a + AROUND].tobytes() + edge[b + AROUND : b + 2 * AROUND].tobytes())
-            out[0].append(one[hit])
-            out[1].append(two[hit])
-            out[2].append(np.full(len(hit), row))
-            out[3].append(bounds[hit])
-            out[4].append(bounds[hit + 1])
-        if out[0]:
-            one, two, row, a, b = (np.concatenate(x) for x in out[:5])
-            columns = [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), keys.take(pa.array(row)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(out[5], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["digest", "second", "doc_id", "start", "stop", "around"])
-
-    hits = wordhash.mapped(rows, places, PLACES).join(several, "digest")
-    hits = staged(hits, "places")
-    origin = hits.where("doc_id = first").groupBy("digest", "second").agg(F.min(F.struct("start", "around"))["around"].alias("around"))
-    # Written, so that the join below deals both sides anew and Spark can split a frequent chunk.
-    origin = staged(origin, "origins")
-    later = hits.where("doc_id > first").drop("around").join(origin, ["digest", "second"])
-    return later.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "stop", "around"))).alias("places"))
-
-
-def spans_of(places: list[dict], starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> list[tuple[int, int]]:
-    """Word spans to cut out: runs of places, extended over equal neighbours, long enough."""
-    short, n, out = _short(hashes), len(starts), []
-    before = [np.frombuffer(p["around"], np.uint16)[:AROUND] for p in places]
-    behind = [np.frombuffer(p["around"], np.uint16)[AROUND:] for p in places]
-
-    def joined(k: int) -> bool:
-        """Whether places k and k + 1 stand side by side where one of them first occurs, too."""
-        a, b, c = places[k]["start"], places[k + 1]["start"], places[k + 1]["stop"]
-        if b != places[k]["stop"]:
-            return b < places[k]["stop"]
-        return np.array_equal(short[b:c], behind[k][: c - b]) or np.array_equal(short[a:b], before[k + 1][AROUND - (b - a) :])
-
-    k = 0
-    while k < len(places):
-        run = k
-        while run + 1 < len(places) and joined(run):
-            run += 1
-        a, b = places[k]["start"], places[run]["stop"]
-        low, high = a, b
-        while low > 0 and a - low < AROUND and short[low - 1] == before[k][AROUND - 1 - (a - low)]:
-            low -= 1
-        while high < n and high - b < AROUND and short[high] == behind[run][high - b]:
-            high += 1
-        if high - low >= PASSAGE:
-            if out and low <= out[-1][1]:
-                low, high = out[-1][0], max(high, out.pop()[1])
-            out.append((low, high))
-        k = run + 1
-    return out
+    several = wordhash.mapped(rows, all_anchors, ANCHORS).groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    field = rows.sparkSession.sparkContext.broadcast(bit_field(several, "anchor"))
+
+    def some_windows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        one, two, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for row, data, starts, ends, words in _texts(batch.column("text")):
+            hit = np.flatnonzero(may_have(field.value, anchors(words).view(np.int64)))
+            if len(hit):
+                digest, first = np.unique(wordhash.shingles(words, PASSAGE)[hit], return_index=True)
+                one.append(digest)
+                two.append(_seconds(data, starts, ends)[hit[first]])
+                rows.append(np.full(len(digest), row))
+        columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (one, two)]
+        yield pa.RecordBatch.from_arrays([*columns, batch.column("doc_id").take(pa.array(np.concatenate(rows)))], ["digest", "second", "doc_id"])
+
+    windows = staged(wordhash.mapped(rows, some_windows, WINDOWS), "windows")
+    first = windows.groupBy("digest", "second").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    # Written, so that the join below deals both sides anew and Spark can split a frequent window.
+    first = staged(first.where("first < last").drop("last"), "firsts")
+    later = windows.join(first, ["digest", "second"]).where("doc_id > first")
+    return later.groupBy("doc_id").agg(F.collect_list("second").alias("windows"))
+
+
+def spans_of(found: np.ndarray) -> list[tuple[int, int]]:
+    """Word spans to cut out: what the windows that begin at the words ``found`` cover."""
+    if not len(found):
+        return []
+    new = np.flatnonzero(np.diff(found) > PASSAGE) + 1
+    lows, highs = found[np.concatenate([[0], new])], found[np.concatenate([new - 1, [-1]])] + PASSAGE
+    return list(zip(lows.tolist(), highs.tolist(), strict=True))
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
     """``documents`` without repeated passages, with n_chars (of the new text), n_removed (code
     points cut out) and n_passages; these replace columns of the same names."""
-    found = repeats(documents).select(F.col("doc_id").alias("_id"), F.col("places").alias("_places"))
+    found = repeats(documents).select(F.col("doc_id").alias("_id"), F.col("windows").alias("_windows"))
     kept = [c for c in documents.columns if c not in ("n_chars", "n_removed", "n_passages")]
     rows = documents.select(*kept).join(found, F.col("doc_id") == F.col("_id"), "left").drop("_id")
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, places = batch.column("text"), batch.column("_places").to_pylist()
+        texts, windows = batch.column("text"), batch.column("_windows")
         out = texts.to_pylist()
         lost, spans_cut = [0] * len(out), [0] * len(out)
-        rows_ = [k for k, x in enumerate(places) if x]
-        for at, (_, data, starts, ends, hashes) in zip(rows_, wordhash.text_words(texts.take(pa.array(rows_, pa.int64())), wordhash.NOT_SPACE), strict=True):
+        rows_ = np.flatnonzero(windows.is_valid().to_numpy(zero_copy_only=False)).tolist()
+        for at, (_, data, starts, ends, _) in zip(rows_, _texts(texts.take(pa.array(rows_, pa.int64()))), strict=True):
             raw, left, last = data.tobytes(), [], 0
-            spans = spans_of(places[at], starts, ends, hashes)
+            spans = spans_of(np.flatnonzero(np.isin(_seconds(data, starts, ends).view(np.int64), windows[at].values.to_numpy())))
+            if not spans:
+                continue
             for a, b in spans:
                 left.append(raw[last : starts[a]])
                 last = int(starts[b]) if b < len(starts) else int(ends[b - 1])
-            text = (b"".join(left) + raw[last:]).decode("utf-8", "replace") if spans else out[at]
+            text = (b"".join(left) + raw[last:]).decode("utf-8", "replace")
             lost[at], spans_cut[at] = len(out[at]) - len(text), len(spans)
             out[at] = text
         columns = {c: batch.column(c) for c in kept} | {

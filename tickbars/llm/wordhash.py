@@ -88,13 +88,13 @@ def windows(data: np.ndarray, joint: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def words(data: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the words of ``data``."""
+def words(data: np.ndarray, word: np.ndarray, value: np.ndarray = _VALUE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words of ``data``, with the given number for each byte."""
     found = []
     for low, high in windows(data, word):
         part = data[low:high]
         starts, ends = word_spans(part, word)
-        found.append((starts + low, ends + low, span_hashes(part, starts, ends)))
+        found.append((starts + low, ends + low, span_hashes(part, starts, ends, value)))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -132,10 +132,10 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         at = end
 
 
-def text_words(texts: pa.Array, word: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def text_words(texts: pa.Array, word: np.ndarray, value: np.ndarray = _VALUE) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each text: its row, its bytes, and the starts, ends and hashes of its words."""
     for low, high, data, rows in slices(texts):
-        starts, ends, hashes = words(data, word)
+        starts, ends, hashes = words(data, word, value)
         cuts = np.searchsorted(starts, rows)
         for k in range(high - low):
             part = slice(cuts[k], cuts[k + 1])
