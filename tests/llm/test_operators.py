@@ -120,6 +120,27 @@ def test_substrings_whose_pieces_occur_earlier_elsewhere(spark):
     assert sum(n for *_, n in got) == 40
 
 
+def test_substrings_find_passages_of_every_length_whole(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(550):
+        passage = prose(rng, 50 + k % 11)
+        rows += [(k + 1000 * j, f"{prose(rng, rng.randint(0, 60))} {passage} {prose(rng, rng.randint(0, 60))}") for j in range(2)]
+    got = substrings_left(spark, rows)
+    assert got == collections.Counter(without_passages(rows))
+    assert sum(n for *_, n in got) == 550
+
+
+def test_substrings_equal_brute_force(spark):
+    """Copies, copies of other white space, several documents of one id, passages in three documents."""
+    rng = random.Random(13)
+    base = [prose(rng, rng.randint(40, 120)) for _ in range(20)]
+    rows = texts() + [(100 + k, rng.choice(base)) for k in range(60)]
+    rows += [(rng.randint(150, 200), f"{rng.choice(base)} {rng.choice(base)[:400]}") for _ in range(60)]
+    rows += [(90, "\n".join(base[0].split())), (None, base[1]), (150, None), (100, base[2]), (100, base[3])]
+    assert substrings_left(spark, rows) == collections.Counter(without_passages(rows))
+
+
 def test_packing(spark, documents, nothing):
     from tokenizers import Tokenizer
 

@@ -12,7 +12,11 @@ window. So each window finds the first document that holds the whole of it, wher
 occur before. A window repeats if that document is an earlier one; the words of all repeating windows
 are cut out. The first document keeps them, and so stay all shorter repeats.
 
-Nothing is limited or left out: anchors and bit field only save work. Words are equal if their bytes
+A document of the same words as an earlier one needs no windows of its own: it is compared as a
+whole, and its windows all stand in the earlier one. The documents that come first with their words
+are a bit field, too.
+
+Nothing is limited or left out: anchors and bit fields only save work. Words are equal if their bytes
 are, whatever white space is between them.
 
 Rows: a null text stays null; rows without doc_id and rows that repeat a doc_id are no other
@@ -21,6 +25,7 @@ document for each other and stay as they are; an empty table gives no rows; othe
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.llm import wordhash
-from tickbars.llm.tables import bit_field, may_have, staged, table
+from tickbars.llm.tables import bit_field, may_have, removed, staged, table
 
 PASSAGE = 50
 # The gear hash of a word takes in the word and the 15 before it, 4 bits for each.
 ROLLED, BITS = 16, 4
 
-ANCHORS = "anchor long, doc_id long"
+ANCHORS = "anchor long, whole boolean, doc_id long"
 WINDOWS = "digest long, second long, doc_id long"
 RESULT = "n_chars long, n_removed long, n_passages int"
 
@@ -71,6 +76,11 @@ def _seconds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return wordhash.shingles(_spans(data, starts, ends, wordhash.EXACT[1]), PASSAGE)
 
 
+def _whole(words: np.ndarray) -> np.ndarray:
+    """Two digests of all words of a text."""
+    return np.frombuffer(hashlib.blake2b(words.tobytes(), digest_size=16).digest(), np.uint64)
+
+
 def _spans(data: np.ndarray, first: np.ndarray, last: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Span hashes, some windows at a time; a span longer than a window makes a larger one."""
     if len(data) <= 2 * wordhash.WINDOW:
@@ -85,26 +95,39 @@ def _spans(data: np.ndarray, first: np.ndarray, last: np.ndarray, value: np.ndar
 
 
 def repeats(documents: DataFrame) -> DataFrame:
-    """(doc_id, windows) of the documents with windows that an earlier document has; a window is
-    known by its second digest."""
+    """(doc_id, windows) of the documents with windows that an earlier document has; a window, or
+    a whole document, is known by its second digest."""
 
     def all_anchors(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        found, rows, whole = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
         for row, _, _, _, words in _texts(batch.column("text")):
-            one = np.unique(anchors(words))
-            found.append(one)
-            rows.append(np.full(len(one), row))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), batch.column("doc_id").take(pa.array(np.concatenate(rows)))], ["anchor", "doc_id"])
+            if len(words) >= PASSAGE:
+                one = np.unique(anchors(words))
+                found += [one, _whole(words)[:1]]
+                rows.append(np.full(len(one) + 1, row))
+                whole.append(np.arange(len(one) + 1) == len(one))
+        columns = [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(whole)), batch.column("doc_id").take(pa.array(np.concatenate(rows)))]
+        yield pa.RecordBatch.from_arrays(columns, ["anchor", "whole", "doc_id"])
 
     rows = documents.where("doc_id is not null").select("doc_id", "text")
-    several = wordhash.mapped(rows, all_anchors, ANCHORS).groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    field = rows.sparkSession.sparkContext.broadcast(bit_field(several, "anchor"))
+    several = wordhash.mapped(rows, all_anchors, ANCHORS).groupBy("anchor", "whole").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    several = staged(several.where("whole or first < last").drop("last"), "anchors")
+    field = rows.sparkSession.sparkContext.broadcast(bit_field(several.where("not whole"), "anchor"))
+    leading = rows.sparkSession.sparkContext.broadcast(bit_field(several.where("whole"), "first"))
+    removed(several)
 
     def some_windows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         one, two, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        leads = may_have(leading.value, batch.column("doc_id").to_numpy())
         for row, data, starts, ends, words in _texts(batch.column("text")):
             hit = np.flatnonzero(may_have(field.value, anchors(words).view(np.int64)))
-            if len(hit):
+            # All anchors of a copy repeat, and so do those of what it is a copy of.
+            if len(hit) and len(hit) == len(words) - PASSAGE + 1:
+                whole = _whole(words)
+                one.append(whole[:1])
+                two.append(whole[1:])
+                rows.append(np.full(1, row))
+            if len(hit) and leads[row]:
                 digest, first = np.unique(wordhash.shingles(words, PASSAGE)[hit], return_index=True)
                 one.append(digest)
                 two.append(_seconds(data, starts, ends)[hit[first]])
@@ -141,9 +164,13 @@ def deduplicated(documents: DataFrame) -> DataFrame:
         out = texts.to_pylist()
         lost, spans_cut = [0] * len(out), [0] * len(out)
         rows_ = np.flatnonzero(windows.is_valid().to_numpy(zero_copy_only=False)).tolist()
-        for at, (_, data, starts, ends, _) in zip(rows_, _texts(texts.take(pa.array(rows_, pa.int64()))), strict=True):
+        for at, (_, data, starts, ends, words) in zip(rows_, _texts(texts.take(pa.array(rows_, pa.int64()))), strict=True):
             raw, left, last = data.tobytes(), [], 0
-            spans = spans_of(np.flatnonzero(np.isin(_seconds(data, starts, ends).view(np.int64), windows[at].values.to_numpy())))
+            known = windows[at].values.to_numpy()
+            if len(words) >= PASSAGE and _whole(words).view(np.int64)[1] in known:
+                spans = [(0, len(words))]
+            else:
+                spans = spans_of(np.flatnonzero(np.isin(_seconds(data, starts, ends).view(np.int64), known)))
             if not spans:
                 continue
             for a, b in spans:
