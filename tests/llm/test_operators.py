@@ -427,6 +427,19 @@ def test_extraction(spark):
     assert extraction.extracted(rows.limit(0)).count() == 0
 
 
+def test_extraction_without_landmarks_on_a_large_host(spark):
+    """Menus and notices go; paragraphs of common short runs and articles copied to a second page stay."""
+    rng = random.Random(14)
+    common = [prose(rng, 7) for _ in range(15)]
+    notice = prose(rng, 30)
+    articles = [[" ".join(f"{rng.choice(common)} {prose(rng, 2)}" for _ in range(5)) for _ in range(3)] for _ in range(150)]
+    own = articles + [articles[k] for k in range(0, 50)]
+    page = "<div><a>Home</a> <a>About us</a></div>{}<div>{} <b>more</b></div>"
+    rows = [(k, f"http://h.example/{k}", page.format("".join(f"<p>{x}</p>" for x in text), notice)) for k, text in enumerate(own)]
+    got = {r.page_id: r.text for r in extraction.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: "\n\n".join(text) for k, text in enumerate(own)}
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "a <|end|> \\b \\l | < \n"), (1, 1, "user", None), (1, 2, "assistant", "x<|more|>y"), (1, 3, "assistant", ""), (1, 4, "assistant", "z"), (1, 5, "system", "s"),
