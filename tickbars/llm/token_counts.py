@@ -7,7 +7,8 @@ is no piece may stand alone at the worst score minus 10 and counts as its UTF-8
 the piece that starts first stays.
 
 A text is cut before each space, and the space belongs to what follows (as ``▁``; one is put before a
-text that does not start with one). Pieces do not reach across these cuts, nor across a character
+text that does not start with one). So pieces of several spaces, of which the vocabulary has 14, are
+never used. Pieces do not reach across these cuts, nor across a character
 that no piece holds, such as a line feed, so a text's count is the sum over its units. Units repeat, so
 each task keeps the counts of those it met in a table of fixed size.
 
