@@ -3,7 +3,8 @@
 Stages: documents that are toxic go; of each group of near copies the smallest doc_id stays; text
 that repeats an earlier document's is cut out; documents contaminated by the benchmark go; the rest
 is packed into sequences. SQL cannot express the first stage (a trained model) or the last one, so
-there is no SQL for the whole; tests hold every stage against brute force.
+there is no SQL for the whole; tests hold the near copies, the repeats and the packing against brute
+force, and the contamination against its SQL.
 """
 
 from __future__ import annotations

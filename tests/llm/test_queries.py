@@ -8,6 +8,7 @@ import duckdb
 import pytest
 from compare import both
 from llm.cases import lower
+from llm.test_operators import without_passages
 from pyspark.sql import functions as F
 from tickbars.llm import queries
 
@@ -24,6 +25,27 @@ def test_one_query_for_each_operator():
     assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES) == list(range(1, 11))
 
 
+def test_stages_equal_brute_force(spark):
+    """Near copies and repeated passages of the smallest table."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    split = {i: re.findall(r"[^\x20\x09-\x0D]+", lower(t)) for i, t in rows}
+    sets = {i: {tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))} if w else set() for i, w in split.items()}
+    least = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and min(len(sets[a]), len(sets[b])) * 100 >= 85 * max(len(sets[a]), len(sets[b])):
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = sorted((least[a], least[b]))
+                    least = {k: x if v == y else v for k, v in least.items()}
+    kept = corpus_pipeline.near_copies(spark, docs, FOLDER).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(least.values()))
+    want = {i: w for i, w, n in without_passages(rows) if w or not n}
+    got = {r.doc_id: tuple(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in corpus_pipeline.repeats(spark, docs, FOLDER).collect()}
+    assert got == want
+
+
 def test_pipeline(spark, tmp_path):
     given = spark.read.parquet(f"{FOLDER}/documents.parquet")
     docs, kept = given, []
