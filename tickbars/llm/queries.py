@@ -5,8 +5,10 @@ from __future__ import annotations
 from tickbars.llm.chat import op10_chat
 from tickbars.llm.decontamination import op5_decontamination
 from tickbars.llm.extraction import op8_extraction
+from tickbars.llm.fill_in_middle import op13_fill_in_middle
 from tickbars.llm.fingerprints import op1_fingerprints
 from tickbars.llm.language import op7_language
+from tickbars.llm.manifest import op11_manifest
 from tickbars.llm.ngram_join import op9_ngram_join
 from tickbars.llm.packing import op3_packing
 from tickbars.llm.substrings import op2_substrings
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_extraction": op8_extraction,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat": op10_chat,
+    "op11_manifest": op11_manifest,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 # The format's length: texts and roles with their escapes, and the marks around and between them.
@@ -78,4 +82,90 @@ SELECT words.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n,
 FROM words LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
 """
 
-ORACLE_SQL = {"op5_decontamination": CONTAMINATION_SQL, "op10_chat": CHAT_SQL}
+# Trees as lists of digests, level by level; the crc32 bit by bit.
+MANIFEST_SQL = """
+WITH RECURSIVE sources AS (
+    SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM documents)
+), fields AS (
+    SELECT s.tree, d.doc_id, d.text,
+        coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || CAST(d.doc_id AS VARCHAR), '-')
+        || coalesce(strlen(d.source) || ':' || d.source, '-')
+        || coalesce(strlen(d.lang) || ':' || d.lang, '-')
+        || coalesce(strlen(CAST(d.n_chars AS VARCHAR)) || ':' || CAST(d.n_chars AS VARCHAR), '-') AS head,
+        list_transform(range(1, length(CAST(d.doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(d.doc_id AS VARCHAR), i, 1)) AS BIGINT)) AS digits
+    FROM documents d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source
+), checked AS (
+    SELECT *, xor(list_reduce(list_concat([4294967295], digits), lambda c, d: list_reduce(list_concat([xor(c, d)], range(8)),
+        lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS crc
+    FROM fields
+), leaves AS (
+    SELECT tree, doc_id, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS idx,
+        sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        CASE WHEN crc % 2 = 0 THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-'))
+            ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS found
+    FROM checked
+), levels AS (
+    SELECT tree, 0 AS level, list(leaf ORDER BY idx) AS nodes FROM leaves GROUP BY tree
+    UNION ALL
+    SELECT tree, level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda i: sha256(list_aggregate(nodes[3 * i + 1 : 3 * i + 3], 'string_agg', '')))
+    FROM levels WHERE len(nodes) > 1
+), subroots AS (
+    SELECT tree, nodes[1] AS subroot, level AS height FROM levels WHERE len(nodes) = 1
+), tops AS (
+    SELECT 0 AS level, list(subroot ORDER BY tree) AS nodes FROM subroots
+    UNION ALL
+    SELECT level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda i: sha256(list_aggregate(nodes[3 * i + 1 : 3 * i + 3], 'string_agg', '')))
+    FROM tops WHERE len(nodes) > 1
+), steps AS (
+    SELECT doc_id, l.level AS step, l.nodes, idx // CAST(3 ** l.level AS BIGINT) AS place
+    FROM leaves JOIN levels l USING (tree) WHERE len(l.nodes) > 1
+    UNION ALL
+    SELECT doc_id, height + t.level, t.nodes, tree // CAST(3 ** t.level AS BIGINT)
+    FROM leaves JOIN subroots USING (tree), tops t WHERE len(t.nodes) > 1
+), around AS (
+    SELECT doc_id, step, coalesce(list_aggregate(nodes[place // 3 * 3 + 1 : place], 'string_agg', ''), '') AS before,
+        coalesce(list_aggregate(nodes[place + 2 : place // 3 * 3 + 3], 'string_agg', ''), '') AS behind
+    FROM steps
+), folded AS (
+    SELECT doc_id, 0 AS step, found AS digest FROM leaves
+    UNION ALL
+    SELECT f.doc_id, f.step + 1, sha256(a.before || f.digest || a.behind) FROM folded f JOIN around a ON f.doc_id = a.doc_id AND f.step = a.step
+), ends AS (
+    SELECT doc_id, arg_max(digest, step) AS folded_root FROM folded GROUP BY doc_id
+), proofs AS (
+    SELECT doc_id, sha256(string_agg(before || behind, '' ORDER BY step)) AS proof_sha256 FROM around GROUP BY doc_id
+)
+SELECT l.doc_id, l.leaf, s.subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root,
+    coalesce(p.proof_sha256, sha256('')) AS proof_sha256, e.folded_root,
+    e.folded_root = (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS verified
+FROM leaves l JOIN subroots s USING (tree) JOIN ends e USING (doc_id) LEFT JOIN proofs p USING (doc_id)
+"""
+
+MIDDLE_SQL = """
+WITH numbers AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d
+    FROM documents
+), cuts AS (
+    SELECT doc_id, t, n, CAST('0x' || substr(d, 1, 8) AS BIGINT) % (n + 1) AS one, CAST('0x' || substr(d, 9, 8) AS BIGINT) % (n + 1) AS two,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(d, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+            WHEN CAST('0x' || substr(d, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), parts AS (
+    SELECT doc_id, t, n, form, least(one, two) AS a, greatest(one, two) AS b FROM cuts
+), cut AS (
+    SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM parts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM cut
+"""
+
+ORACLE_SQL = {
+    "op5_decontamination": CONTAMINATION_SQL,
+    "op10_chat": CHAT_SQL,
+    "op11_manifest": MANIFEST_SQL,
+    "op13_fill_in_middle": MIDDLE_SQL,
+}

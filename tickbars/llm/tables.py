@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -11,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickbars.session import stored
+from tickbars.session import fresh_folder
 
 # Fixed value: every fifth document is held out of all learning.
 FOLDS = 5
@@ -48,7 +49,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written once into the shared folder: later readings cost a scan, their size is
     known to the planner, and a lost executor loses nothing."""
-    return stored(rows, name)
+    path = fresh_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    read = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    read._tickbars_folder = path
+    return read
 
 
 def held_out(doc_id: Column) -> Column:
@@ -57,15 +62,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def removed(*tables: DataFrame) -> None:
-    """Delete written tables that nothing will read again."""
+    """Delete tables that :func:`staged` wrote and nothing will read again; never any other."""
     for rows in tables:
-        spark = rows.sparkSession
-        for path in {str(Path(x.replace("file:///", "/")).parent) if x.startswith("file:") else x.rpartition("/")[0] for x in rows.inputFiles()}:
+        spark, path = rows.sparkSession, getattr(rows, "_tickbars_folder", None)
+        if path:
             with contextlib.suppress(Exception):  # what stays is only space
                 where = spark._jvm.org.apache.hadoop.fs.Path(path)
                 where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def settled(spark: SparkSession) -> None:
+    """Let go of the shuffle files of plans that are done: Spark deletes them when the driver collects
+    its garbage, which a driver with memory to spare puts off for up to half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 BIT_FIELD = 24
 
 
