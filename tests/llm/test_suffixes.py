@@ -1,0 +1,127 @@
+"""Repeated bytes against all strings of 100 bytes."""
+
+import random
+
+import numpy as np
+import pytest
+from llm import cases
+from pyspark.sql import functions as F
+from tickbars.llm import suffixes as x
+
+
+def brute(rows):
+    """(doc_id, n_bytes, spans, kept) of rows of different doc_ids."""
+    seen, out = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        data = (text or "").encode()
+        gone = np.zeros(len(data) + 2, np.int8)
+        for s in range(len(data) - x.MATCH + 1):
+            string = data[s : s + x.MATCH]
+            if string in seen:
+                gone[s + 1 : s + 1 + x.MATCH] = 1
+            seen.add(string)
+        edges = np.flatnonzero(np.diff(gone)).tolist()
+        spans = list(zip(edges[0::2], edges[1::2], strict=True))
+        kept = b"".join(data[a:b] for a, b in zip([0, *edges[1::2]], [*edges[0::2], len(data)], strict=True))
+        out.append((doc_id, len(data), spans, kept))
+    return out
+
+
+def ours(frame, batches=2):
+    rows = x.without_repeats(frame, batches).collect()
+    assert all(r.n_removed == sum(s.end - s.start for s in r.spans) for r in rows)
+    found = [(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in rows]
+    return sorted(found, key=lambda r: (r[0] is not None, r[0] or 0, r[3]))
+
+
+def shared(seed, count, few=False):
+    """Texts made of a few passages, cut anywhere, so that matches of all lengths around 100 occur, with
+    several earlier places for the parts of one text."""
+    rng = random.Random(seed)
+    words = ["a", "b"] if few else None
+    def prose(n):
+        return "".join(rng.choice(words) for _ in range(n)) if few else cases.prose(rng, n // 6 + 1)[:n]
+    passages = [prose(rng.randint(90, 400)) for _ in range(12)]
+    out = []
+    for k in range(count):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            p = rng.choice(passages)
+            a = rng.randint(0, max(0, len(p) - 95))
+            parts += [prose(rng.randint(0, 60)), p[a : a + rng.randint(95, 300)]]
+        out.append((3 * k, " é".join(parts)))
+    return out
+
+
+@pytest.mark.parametrize("batches", (1, 5))
+def test_equals_brute_force(spark, batches):
+    rows = shared(batches, 60)
+    assert ours(cases.frame(spark, rows).repartition(5), batches) == brute(rows)
+
+
+def test_few_letters_and_runs(spark):
+    """Texts of one letter, of periods, and of two letters, where anchors tie."""
+    rows = [(1, "a" * 700), (2, "ab" * 300), (3, "a" * 150 + "b" * 99), (4, "b" * 99 + "a" * 99), (5, "xyz" * 80 + "ab" * 51), (6, "é" * 300), (7, "é" * 49), (8, "é" * 50)]
+    rows += [(10 + i, t) for i, t in shared(11, 10, few=True)]
+    assert ours(cases.frame(spark, rows)) == brute(rows)
+
+
+def test_cases(spark):
+    rows = {i: t for i, t in cases.texts()}
+    assert ours(cases.frame(spark, list(rows.items()))) == brute(list(rows.items()))
+
+
+def test_rows_of_one_id(spark):
+    """Equal rows are one document; other texts of the id come in some fixed order; no id comes first."""
+    rng = random.Random(3)
+    passage, one, two = (cases.prose(rng, 60) for _ in range(3))
+    rows = [(5, one + passage), (5, one + passage), (5, two + passage), (9, passage), (None, passage), (None, passage)]
+    got = ours(cases.frame(spark, rows), 1)
+    long = len(passage.encode())
+    assert [r[2] for r in got[:2]] == [[], []]
+    assert [r[2] for r in got if r[0] == 9] == [[(0, long)]]
+    for _, n, spans, _ in (r for r in got if r[0] == 5):
+        assert spans and spans[-1][1] == n and n - spans[0][0] <= long + 1
+    assert ours(cases.frame(spark, rows[2::-1]).repartition(3), 1) == ours(cases.frame(spark, rows[:3]), 1)
+
+
+def test_long_texts_cross_blocks(spark):
+    rng = random.Random(8)
+    text = cases.prose(rng, 70_000)
+    assert len(text) > x.BLOCK
+    rows = [(1, text), (2, "z" + text), (3, text[150_000:150_130])]
+    got = ours(cases.frame(spark, rows), 1)
+    assert got[0][2] == [] and got[1][2] == [(1, len(text) + 1)] and got[2][2] == [(0, 130)]
+
+
+def test_empty_table(spark):
+    assert ours(cases.frame(spark, [(1, "x")]).where("false"), 1) == []
+
+
+def test_levels_are_powers_of_two_and_hold_each_name_once(spark):
+    family = x.Family(spark)
+    for k in range(5):
+        rows = spark.range(20).select(F.lit(0).cast("long").alias("core"), ((F.col("id") + 7 * k) % 31).alias("hull"), F.lit(k).cast("long").alias("doc_id"), F.col("id").alias("at"))
+        found = family.added(rows).collect()
+        seen = {(i + 7 * j) % 31 for j in range(k) for i in range(20)}
+        assert sorted(r.at for r in found) == [i for i in range(20) if (i + 7 * k) % 31 in seen]
+    family.merged()
+    assert [size for size, _ in family.levels] == [4, 1]
+    names = [r.hull for _, name in family.levels for r in family._level(name).collect()]
+    assert sorted(names) == list(range(31))
+    family.close()
+
+
+def test_merge_scan_shuffles_only_the_batch(spark):
+    family = x.Family(spark)
+    rows = spark.range(1000).select(F.col("id").alias("core"), F.col("id").alias("hull"), F.lit(1).cast("long").alias("doc_id"), F.col("id").alias("at"))
+    family.added(rows)
+    level = family._level(family.levels[0][1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = rows.groupBy(*x.NAME).agg(F.count(F.lit(1)).alias("n"))
+        plan = batch.join(level, x.NAME, "left")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1
+    family.close()

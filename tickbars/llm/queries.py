@@ -12,6 +12,7 @@ from tickbars.llm.manifest import op11_manifest
 from tickbars.llm.ngram_join import op9_ngram_join
 from tickbars.llm.packing import op3_packing
 from tickbars.llm.substrings import op2_substrings
+from tickbars.llm.suffixes import op12_suffixes
 from tickbars.llm.token_counts import op4_token_counts
 from tickbars.llm.toxicity import op6_toxicity
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_chat": op10_chat,
     "op11_manifest": op11_manifest,
+    "op12_suffixes": op12_suffixes,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -141,6 +143,31 @@ SELECT l.doc_id, l.leaf, s.subroot, (SELECT nodes[1] FROM tops WHERE len(nodes)
 FROM leaves l JOIN subroots s USING (tree) JOIN ends e USING (doc_id) LEFT JOIN proofs p USING (doc_id)
 """
 
+# Every string of 100 bytes, and the hex digits between those that go.
+SUFFIXES_SQL = """
+WITH given AS (
+    SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), starts AS (
+    SELECT doc_id, b, unnest(range(0, octet_length(b) - 99)) AS s FROM given
+), strings AS (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY b[s + 1 : s + 100] ORDER BY doc_id, s) AS place FROM starts
+), later AS (
+    SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS opens FROM strings WHERE place > 1
+), spans AS (
+    SELECT doc_id, min(s) AS a, max(s) + 100 AS z
+    FROM (SELECT doc_id, s, sum(opens) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM later) GROUP BY doc_id, span
+), gaps AS (
+    SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS last FROM spans
+), kept AS (
+    SELECT g.doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+        string_agg(substr(digits, 2 * last + 1, 2 * (a - last)), '' ORDER BY a) AS head
+    FROM gaps g JOIN given USING (doc_id) GROUP BY g.doc_id
+)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(head, '') || substr(digits, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM given LEFT JOIN kept USING (doc_id)
+"""
+
 MIDDLE_SQL = """
 WITH numbers AS (
     SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
@@ -167,5 +194,6 @@ ORACLE_SQL = {
     "op5_decontamination": CONTAMINATION_SQL,
     "op10_chat": CHAT_SQL,
     "op11_manifest": MANIFEST_SQL,
+    "op12_suffixes": SUFFIXES_SQL,
     "op13_fill_in_middle": MIDDLE_SQL,
 }

@@ -61,14 +61,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # what stays is only space
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def removed(*tables: DataFrame) -> None:
     """Delete tables that :func:`staged` wrote and nothing will read again; never any other."""
     for rows in tables:
-        spark, path = rows.sparkSession, getattr(rows, "_tickbars_folder", None)
+        path = getattr(rows, "_tickbars_folder", None)
         if path:
-            with contextlib.suppress(Exception):  # what stays is only space
-                where = spark._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            deleted(rows.sparkSession, path)
 
 
 def settled(spark: SparkSession) -> None:
