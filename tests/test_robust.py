@@ -10,7 +10,6 @@ from tickbars.operators.bars import bars
 from tickbars.schemas import ENVELOPE
 from tickbars.sinks import row_files
 from tickbars.sources.files import stream_messages
-from tickbars.streaming import memory
 from tickbars.streaming.jobs import average_rows, bar_rows, start, start_each
 from tickbars.streaming.replay import replay, run_to_end
 
@@ -116,26 +115,6 @@ def test_processing_time_trigger(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
 
 
-def test_redelivered_bars_fill_nothing_twice(spark, tmp_path):
-    kinds = "symbol string, type string, start timestamp, end timestamp, last_data_time timestamp, real_data_count long, filled_data_count long, real_or_filled string, vwap_price_per_sec double, size_per_sec long, volume_till_now long, yesterday_price double, price_change_percentage double"
-    source = str(tmp_path / "bars")
-    (tmp_path / "bars").mkdir()
-
-    def give(*seconds):
-        rows = spark.createDataFrame([("A", s) for s in seconds], "symbol string, s long")
-        start_ = F.timestamp_seconds(F.col("s") + BASE)
-        values = {"symbol": F.col("symbol"), "type": F.lit("per_sec_data"), "start": start_, "end": start_, "last_data_time": start_}
-        rows.select(*[values.get(x.split()[0], F.lit("1" if "string" not in x else "real")).cast(x.split()[1]).alias(x.split()[0]) for x in kinds.split(", ")]).coalesce(1).write.mode("append").parquet(source)
-
-    stream = memory.gap_fill(spark.readStream.schema(kinds).parquet(source))
-    for seconds in ((0, 3), (1, 6), (0, 3), (6,)):
-        give(*seconds)
-        run_to_end(stream, str(tmp_path / "out"), str(tmp_path / "state"), "again")
-    got = spark.read.parquet(str(tmp_path / "out"))
-    fillers = sorted(r[0] for r in got.where("real_or_filled = 'filled'").select(F.unix_seconds("start") - BASE).collect())
-    assert fillers == [1, 2, 4, 5]
-
-
 def test_the_program_runs_over_files(spark, tmp_path):
     topic = str(tmp_path / "topic")
     send(spark, topic, [tick(s) for s in range(20)] + [tick(500)])
@@ -144,3 +123,12 @@ def test_the_program_runs_over_files(spark, tmp_path):
     main(["averages-each", "--source", "parquet", "--from", str(tmp_path / "bars"), "--sink", "parquet", "--to", str(tmp_path / "lines"), "--checkpoint", str(tmp_path / "s2"), "--once", "--durations", "5"], spark)
     main(["chained", "--source", "parquet", "--from", topic, "--sink", "parquet", "--to", str(tmp_path / "chained"), "--checkpoint", str(tmp_path / "s3"), "--once"], spark)
     assert spark.read.parquet(str(tmp_path / "chained")).count() == 24 + 29 + 34
+    filled = ["--source", "parquet", "--from", str(tmp_path / "bars"), "--sink", "parquet", "--once", "--watermark", "5 seconds"]
+    main(["filled", *filled, "--to", str(tmp_path / "filled"), "--checkpoint", str(tmp_path / "s4")], spark)
+    assert spark.read.parquet(str(tmp_path / "filled")).count() == 15
+    main(["lines", *filled, "--to", str(tmp_path / "each"), "--checkpoint", str(tmp_path / "s5"), "--each-bar-once"], spark)
+    assert spark.read.parquet(str(tmp_path / "each")).count() == 3 * 15
+    main(["latest", *filled, "--to", str(tmp_path / "latest"), "--checkpoint", str(tmp_path / "s6")], spark)
+    assert spark.read.parquet(str(tmp_path / "latest")).count() == 1
+    main(["rejected", "--source", "parquet", "--from", topic, "--sink", "parquet", "--to", str(tmp_path / "bad"), "--checkpoint", str(tmp_path / "s7"), "--once"], spark)
+    assert not [f for f in (tmp_path / "bad").glob("*.parquet") if spark.read.parquet(str(f)).count()]

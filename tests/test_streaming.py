@@ -14,13 +14,11 @@ from tickbars.functions.codec import (
     with_event_time,
 )
 from tickbars.operators.bars import bars
-from tickbars.operators import history
 from tickbars.operators.history import latest_bar
 from tickbars.operators.sma import sma, sma_all
 from tickbars.session import shared_folder, stored
 from tickbars.sinks import Sink, console, kafka_sink, message_files, row_files, write
 from tickbars.sources import files, kafka
-from tickbars.streaming import memory
 from tickbars.streaming.jobs import (
     bar_rows,
     chained_rows,
@@ -271,31 +269,3 @@ def test_shared_folder_and_stored_table(spark):
     assert table.schema.names == rows.schema.names
     assert sorted(table.collect()) == sorted(rows.collect())
     assert all(shared_folder(spark) in path for path in table.inputFiles())
-
-
-def uneven_bars(spark):
-    random.seed(11)
-    ticks = [
-        tick(
-            at, symbol=symbol, micro=7, price=round(random.random() * 9, 2), serial=str(at), volume=2**60 + at,
-            kind=random.choice(("trade", "heartbeat")), yesterday_price=float(at // 500),
-        )
-        for symbol in ("A", "B", None)
-        for at in sorted(random.sample(range(1500), 40))
-    ]
-    return batch_bars(spark, ticks)
-
-
-@pytest.mark.parametrize("name", ["carry_forward", "gap_fill"])
-def test_memory_of_a_stream_equals_batch(spark, tmp_path, name):
-    rows = uneven_bars(spark).cache()
-    second = F.unix_seconds("start") - BASE
-    for low, high in ((0, 200), (200, 210), (210, 900), (900, 1500)):
-        part = rows.where((second >= low) & (second < high))
-        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-        run_to_end(getattr(memory, name)(stream), str(tmp_path / "out"), str(tmp_path / "state"))
-    found = spark.read.parquet(str(tmp_path / "out"))
-    expected = getattr(history, name)(rows).select(*found.columns)
-    assert found.count() == expected.count()
-    assert found.exceptAll(expected).count() == 0

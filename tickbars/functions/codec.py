@@ -116,16 +116,66 @@ def ahead_of_time(messages: DataFrame, ahead: str, name: str = "rejected_ticks")
 
 
 def bars_of(
-    messages: DataFrame, lenient: bool = False, name: str = "bar_quality"
+    messages: DataFrame,
+    lenient: bool = False,
+    name: str = "bar_quality",
+    fields: tuple[str, ...] = BAR_FIELDS,
 ) -> DataFrame:
-    """The fields of bar messages that the averages use, each message parsed once.
+    """The fields of bar messages that the averages use (or others; none for all), each message
+    parsed once.
 
     A start outside the years 0001 to 9999 is no time and is counted as missing.
     """
-    rows = decode_bars(messages, lenient, fields=BAR_FIELDS)
+    rows = decode_bars(messages, lenient, fields=fields)
     return observed(rows.withColumn("start", in_calendar(F.col("start"))), "start", name)
 
 
+def rejected_ticks(messages: DataFrame, ahead: str | None = None, name: str = "dead_letters") -> DataFrame:
+    """The tick messages that make no bar or not a whole one, as they came, with the ``reason``:
+
+    ``not json``             the text is no JSON object
+    ``wrong type: a, b``     fields that hold something, but not what they should
+    ``no symbol``, ``no time``
+    ``no such time``         a time that is no number, or outside the years 0001 to 9999
+    ``ahead of time``        further than ``ahead`` ahead of the message's own timestamp
+
+    The first that applies counts. All columns of ``messages`` are kept, so what came from a topic
+    can be found there again by partition and offset. A message is parsed twice here, once as text;
+    run it as a query of its own, or on the batch of a ``foreachBatch``.
+    """
+    used = T.StructType([f for f in TICK if f.name in TICK_FIELDS])
+    as_text = T.StructType([*[T.StructField(f.name, T.StringType()) for f in used], T.StructField("_bad", T.StringType())])
+    text = F.col("value").cast("string")
+    rows = messages.withColumns(
+        {
+            "_text": F.from_json(text, as_text, {"columnNameOfCorruptRecord": "_bad"}),
+            "_typed": F.from_json(text, used),
+        }
+    )
+    time = micros_to_time(F.col("_text.time"))
+    wrong = F.concat_ws(
+        ", ",
+        *[
+            F.when(F.col(f"_text.{f.name}").isNotNull() & F.col(f"_typed.{f.name}").isNull(), F.lit(f.name))
+            for f in used
+            if f.name != "time"
+        ],
+    )
+    too_far = F.lit(False)
+    if ahead:
+        rows, too_far = rows.withColumn("_time", time), _ahead("_time", ahead)
+    reason = (
+        F.when(text.isNull() | F.col("_text._bad").isNotNull() | ~F.ltrim(text).startswith("{"), "not json")
+        .when(wrong != "", F.concat(F.lit("wrong type: "), wrong))
+        .when(F.col("_text.symbol").isNull(), "no symbol")
+        .when(F.col("_text.time").isNull(), "no time")
+        .when(time.isNull(), "no such time")
+        .when(too_far, "ahead of time")
+    )
+    found = rows.select(*messages.columns, reason.alias("reason")).where("reason is not null")
+    return found.observe(name, F.count(F.lit(1)).alias("rows"))
+
+
 def encode(rows: DataFrame, keyed: bool = True) -> DataFrame:
     """Messages with ``symbol`` as key (optional) and the row as JSON value.
 

@@ -14,17 +14,35 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.schemas import DURATIONS
 from tickbars.session import build_session
-from tickbars.sinks import Sink, console, kafka_sink, message_files
+from tickbars.sinks import Sink, console, kafka_sink, message_files, row_files
+from tickbars.sinks.tables import Newest
 from tickbars.sources import files, kafka
-from tickbars.streaming.jobs import WATERMARK, start_averages, start_bars, start_chained, start_each
+from tickbars.streaming.follow import DAY
+from tickbars.streaming.jobs import (
+    WATERMARK,
+    start_averages,
+    start_bars,
+    start_carried,
+    start_chained,
+    start_each,
+    start_filled,
+    start_latest,
+    start_lines,
+    start_rejected,
+)
+
+JOBS = (
+    "bars", "averages", "averages-each", "chained", "lines", "filled", "carried", "latest", "rejected",
+)
 
 
 def parser() -> argparse.ArgumentParser:
     args = argparse.ArgumentParser(prog="tickbars", description="Bars and moving averages of a stream of ticks.")
-    args.add_argument("job", choices=("bars", "averages", "averages-each", "chained"))
+    args.add_argument("job", choices=JOBS)
     args.add_argument("--source", choices=("kafka", "parquet", "orc", "json", "text"), default="kafka")
     args.add_argument("--from", dest="origin", required=True, help="topic or folder to read")
     args.add_argument("--sink", choices=("kafka", "parquet", "json", "console"), default="kafka")
@@ -35,6 +53,9 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--watermark", default=WATERMARK)
     args.add_argument("--ahead", help="refuse ticks further ahead of their message's time, as in '1 hour'")
     args.add_argument("--durations", type=int, nargs="+", default=list(DURATIONS))
+    args.add_argument("--each-bar-once", action="store_true", help="drop bars that a topic delivers again")
+    args.add_argument("--quiet", type=int, default=DAY, help="seconds of silence until a symbol is forgotten")
+    args.add_argument("--until", type=int, help="the second since 1970 behind which no silence is filled")
     args.add_argument("--max-per-trigger", type=int, help="messages (Kafka) or files of a micro-batch")
     args.add_argument("--every", help="processing time between micro-batches, as in '15 seconds'")
     args.add_argument("--output-mode", choices=("append", "update"), default="append")
@@ -58,9 +79,32 @@ def _sink(args: argparse.Namespace, part: str = "") -> Sink:
     return message_files(f"{args.to}{part}", args.sink)
 
 
+def _one(messages: DataFrame, args: argparse.Namespace, run: dict[str, object]) -> StreamingQuery:
+    """Start the job of ``args`` if it is one query."""
+    if args.job == "latest":
+        run.pop("output_mode")
+        return start_latest(messages, [Newest(args.to)], **run)
+    if args.job == "rejected":
+        rows = _sink(args) if args.sink == "kafka" else row_files(args.to, args.sink) if args.to else console()
+        return start_rejected(messages, rows, ahead=args.ahead, **run)
+    run["watermark"] = args.watermark
+    averages = {"durations": args.durations, "each_bar_once": args.each_bar_once}
+    if args.job == "bars":
+        return start_bars(messages, _sink(args), ahead=args.ahead, **run)
+    if args.job == "averages":
+        return start_averages(messages, _sink(args), **averages, **run)
+    if args.job == "lines":
+        return start_lines(messages, _sink(args), **averages, **run)
+    if args.job == "filled":
+        return start_filled(messages, _sink(args), quiet=args.quiet, until=args.until, **run)
+    if args.job == "carried":
+        return start_carried(messages, _sink(args), quiet=args.quiet, **run)
+    return start_chained(messages, _sink(args), durations=args.durations, ahead=args.ahead, **run)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    if args.sink != "console" and not args.to:
+    if (args.sink != "console" or args.job == "latest") and not args.to:
         parser().error("--to is needed")
     if "kafka" in (args.source, args.sink) and not args.servers:
         parser().error("--servers is needed")
@@ -73,19 +117,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.job == "averages-each":
         queries = start_each(
             lambda: _messages(spark, args), lambda d: _sink(args, f"/{d}" if args.sink != "kafka" else ""),
-            args.checkpoint, args.durations, watermark=args.watermark, **run,
+            args.checkpoint, args.durations, watermark=args.watermark, each_bar_once=args.each_bar_once, **run,
         )
     else:
-        run |= {"checkpoint": args.checkpoint, "watermark": args.watermark}
-        if args.job == "bars":
-            query = start_bars(_messages(spark, args), _sink(args), ahead=args.ahead, **run)
-        elif args.job == "averages":
-            query = start_averages(_messages(spark, args), _sink(args), durations=args.durations, **run)
-        else:
-            query = start_chained(
-                _messages(spark, args), _sink(args), durations=args.durations, ahead=args.ahead, **run
-            )
-        queries = [query]
+        queries = [_one(_messages(spark, args), args, run | {"checkpoint": args.checkpoint})]
     if args.once:
         for query in queries:
             query.awaitTermination()

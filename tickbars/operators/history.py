@@ -18,8 +18,10 @@ from tickbars.operators.slices import (
     GROUP,
     SLICE_SECONDS,
     across,
+    dealt,
     join_slices,
     sliced,
+    window_starts,
     within,
 )
 from tickbars.schemas import BAR_TYPE
@@ -144,7 +146,8 @@ def fill_seconds(
     ``_second``, and the bar of a heartbeat, with ``yesterday`` as price to compare
     with, at the others.
 
-    The seconds are made slice by slice, so a long silence is not one long array.
+    The seconds are made slice by slice, and the slices of a silence are dealt out before, so a
+    long silence is neither one long array nor the work of one task.
     """
     spans = rows.withColumns({"_first": first, "_last": last}).withColumn(
         "_span",
@@ -153,7 +156,7 @@ def fill_seconds(
                 F.floor(F.col("_first") / slice_seconds), F.floor(F.col("_last") / slice_seconds)
             )
         ),
-    )
+    ).repartition("symbol", "_span")
     begin = F.greatest(F.col("_first"), F.col("_span") * slice_seconds)
     end = F.least(F.col("_last"), F.col("_span") * slice_seconds + slice_seconds - 1)
     seconds = spans.withColumn("_at", F.explode(F.sequence(begin, end)))
@@ -182,7 +185,8 @@ def fill_seconds(
 
 
 def latest_bar(bars: DataFrame) -> DataFrame:
-    """The newest bar of each symbol, from one hash aggregation.
+    """The newest bar of each symbol, from one hash aggregation; of bars of one start, such as one
+    sent again with other values, the one with the greatest hash of its content.
 
     On a stream, use output mode ``update``; state is one row per symbol.
     """
@@ -190,8 +194,12 @@ def latest_bar(bars: DataFrame) -> DataFrame:
         "last_data_time", "real_data_count", "filled_data_count", "vwap_price_per_sec",
         "size_per_sec", "volume_till_now", "yesterday_price", "price_change_percentage",
     )
+    # Start and hash in one number of fixed width keep Spark on hash aggregation.
+    width = F.lit("20000000000000000000").cast("decimal(20,0)")
+    start = F.unix_micros("start").cast("decimal(18,0)")
+    order = (start * width).cast("decimal(38,0)") + F.xxhash64(*numbers).cast("decimal(19,0)")
     newest = bars.groupBy("symbol").agg(
-        F.max("start").alias("start"), *[F.max_by(n, "start").alias(n) for n in numbers]
+        F.max("start").alias("start"), *[F.max_by(n, order.cast("decimal(38,0)")).alias(n) for n in numbers]
     )
     return newest.withColumn("real_or_filled", trade_label(F.col("real_data_count")))
 
@@ -205,12 +213,18 @@ def latest_price(bars: DataFrame) -> DataFrame:
     )
 
 
-def window_bounds(bars: DataFrame, seconds: int, slide: str = "1 second") -> DataFrame:
-    """First and last bar of each sliding window."""
-    grouped = bars.groupBy(
-        F.window("start", f"{seconds} seconds", slide).alias("window"), "symbol"
-    ).agg(F.min("start").alias("first_data_time"), F.max("start").alias("last_data_time"))
-    return grouped.select("symbol", "window.start", "window.end", "first_data_time", "last_data_time")
+def window_bounds(bars: DataFrame, seconds: int, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """First and last bar of each window of ``seconds`` that slides by a second.
+
+    Bars are shipped once, to their slice of time, and copied into windows only there."""
+    rows = bars.where("start is not null").selectExpr("symbol", "unix_seconds(start) AS second", "start AS _bar")
+    starts = window_starts(dealt(rows, seconds - 1, slice_seconds), seconds - 1, slice_seconds)
+    grouped = starts.groupBy("symbol", "slice", "at").agg(
+        F.min("_bar").alias("first_data_time"), F.max("_bar").alias("last_data_time")
+    )
+    start = F.timestamp_seconds("at")
+    end = F.timestamp_seconds(F.col("at") + seconds)
+    return grouped.select("symbol", start.alias("start"), end.alias("end"), "first_data_time", "last_data_time")
 
 
 def source_partitions(messages: DataFrame) -> DataFrame:
@@ -218,15 +232,20 @@ def source_partitions(messages: DataFrame) -> DataFrame:
 
 
 def with_partition_symbol(
-    messages: DataFrame, symbols: Mapping[int, str], unknown: str
+    messages: DataFrame, symbols: Mapping[int, str] | DataFrame, unknown: str
 ) -> DataFrame:
     """Add ``partition_symbol``, the symbol a source partition stands for.
 
-    The map is part of the program, so its size is known to the planner, which
-    broadcasts it if it is small and shuffles if it is not.
+    ``symbols`` is a map or a table (partition, symbol) with one row per partition. Its size is known
+    to the planner, which broadcasts it if it is small and shuffles if it is not. On a stream a table
+    is read as it was when the query started; ``streaming.jobs.start_per_batch`` reads it for each
+    micro-batch.
     """
     spark: SparkSession = messages.sparkSession
-    table = spark.createDataFrame(list(symbols.items()), "_partition int, _symbol string")
+    if isinstance(symbols, DataFrame):
+        table = symbols.select(F.col("partition").alias("_partition"), F.col("symbol").alias("_symbol"))
+    else:
+        table = spark.createDataFrame(list(symbols.items()), "_partition int, _symbol string")
     joined = messages.join(table, F.col("partition") == F.col("_partition"), "left")
     return joined.withColumn("partition_symbol", F.coalesce("_symbol", F.lit(unknown))).drop(
         "_partition", "_symbol"

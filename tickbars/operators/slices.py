@@ -43,3 +43,21 @@ def across(keys: Sequence[str]) -> WindowSpec:
 def join_slices(rows: DataFrame, slices: DataFrame) -> DataFrame:
     """Give each row the columns of its slice."""
     return rows.join(slices, GROUP, "left")
+
+
+def dealt(rows: DataFrame, reach: int, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Rows (symbol, second, ...) dealt out by (symbol, ``slice``), each shipped once: a window belongs
+    to the slice its start is in, so a row goes to its own slice and, in the first ``reach`` seconds
+    of it, to the one before as well."""
+    return rows.selectExpr(
+        "*",
+        f"explode(sequence(floor((second - {reach}) / {slice_seconds}),"
+        f" floor(second / {slice_seconds}))) AS slice",
+    ).repartition("symbol", "slice")
+
+
+def window_starts(rows: DataFrame, reach: int, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """A row of ``dealt`` for each start ``at``, within its slice, of a window it is in."""
+    first = f"greatest(second - {reach}, slice * {slice_seconds})"
+    last = f"least(second, slice * {slice_seconds} + {slice_seconds - 1})"
+    return rows.selectExpr("*", f"explode(sequence({first}, {last})) AS at")

@@ -16,11 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickbars.operators.slices import SLICE_SECONDS, dealt, window_starts
 from tickbars.operators.sma import MEASURES, unfold
 from tickbars.schemas import DURATIONS
 
-SLICE_SECONDS = 600
-
 
 def sma_lines(
     bars: DataFrame,
@@ -39,13 +38,7 @@ def sma_lines(
     values = [f"{value} AS {name}" for name, value in MEASURES.items()]
     per_second = bars.selectExpr("symbol", "unix_seconds(start) AS second", *values)
 
-    # A window belongs to the slice its start is in, so a bar goes to its own
-    # slice and, near the beginning of it, to the one before as well.
-    sliced = per_second.selectExpr(
-        "*",
-        f"explode(sequence(floor((second - {reach}) / {slice_seconds}),"
-        f" floor(second / {slice_seconds}))) AS slice",
-    ).repartition("symbol", "slice")
+    sliced = dealt(per_second, reach, slice_seconds)
     if not one_bar_per_second:
         # Rows of one second meet in their slice; adding them up needs no further shuffle.
         sums = [F.sum(name).alias(name) for name in MEASURES]
@@ -53,9 +46,7 @@ def sma_lines(
     sliced = sliced.sortWithinPartitions("symbol", "slice", "second")
     # Bars come in time order, so sums of prices always add up in the same order.
     # The partitioning above already brings each group of the aggregation together.
-    first = f"greatest(second - {reach}, slice * {slice_seconds})"
-    last = f"least(second, slice * {slice_seconds} + {slice_seconds - 1})"
-    starts = sliced.selectExpr("*", f"explode(sequence({first}, {last})) AS at")
+    starts = window_starts(sliced, reach, slice_seconds)
     sums = [
         F.expr(f"sum(if(second < at + {seconds}, {name}, NULL)) AS {name}_{seconds}")
         for seconds in durations

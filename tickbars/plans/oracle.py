@@ -236,7 +236,35 @@ def _all() -> dict[str, str]:
         SELECT symbol, sec AS start_s, size_per_sec, real_data_count, filled_data_count
         FROM bars"""
     )
-    sql["bars_with_bad_messages"] = sql["stream_bars"]
+    # Two sizes of 2^63 - 1 in a second of their own: their sum is no bigint.
+    sql["bars_with_bad_messages"] = f"""
+        SELECT *, FALSE AS size_overflow FROM ({sql["stream_bars"]})
+        UNION ALL SELECT 'BAD', {B // 1000000}, 0, 0, 2, 0, 0.0, TRUE"""
+    sql["stream_lines"] = sql["stream_sma_parts"] = sql["sma_all"]
+    sql["stream_sma_redelivered"] = sql["sma_5"]
+    sql["stream_carry_forward"] = sql["carry_forward"]
+    # Every symbol up to the newest second of all of them.
+    sql["stream_gap_fill"] = (
+        sql["gap_fill"]
+        .replace(_ticks(None), _ticks())
+        .replace("MAX(sec) AS b,", "(SELECT MAX(sec) FROM bars) AS b,")
+    )
+    sql["stream_latest_bar"] = sql["latest_bar"].replace(
+        "last_us AS last_data_time_us", "last_us // 1000 AS last_data_time_ms"
+    )
+    sql["stream_to_both"] = (
+        _with(_ticks(), _bars())
+        + """
+        SELECT output, symbol, sec AS start_s, size_per_sec, real_data_count, filled_data_count,
+               ROUND(vwap, 6) AS vwap_price_per_sec
+        FROM bars, (VALUES ('table'), ('messages')) outputs(output)"""
+    )
+    sql["stream_partition_symbol"] = sql["partition_symbol"]
+    sql["rejected_messages"] = """
+        SELECT event_id, CASE event_id % 50 WHEN 0 THEN 'not json' WHEN 1 THEN 'wrong type: size'
+               WHEN 2 THEN 'no time' WHEN 3 THEN 'no such time' WHEN 4 THEN 'no symbol'
+               ELSE 'ahead of time' END AS reason
+        FROM events WHERE event_id % 50 < 6"""
     return sql
 
 

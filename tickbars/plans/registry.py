@@ -7,15 +7,18 @@ compare equal with another engine in any session time zone.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.functions.codec import (
+    BAR_FIELDS,
     bars_of,
     decode_bars,
     decode_ticks,
     encode,
+    rejected_ticks,
     ticks_of,
     with_event_time,
 )
@@ -31,20 +34,34 @@ from tickbars.operators.sma import (
 )
 from tickbars.plans.lines import sma_lines
 from tickbars.session import fresh_folder, stored
+from tickbars.sinks import message_files
+from tickbars.sinks.tables import BatchTable, Newest, Windows, to_messages
 from tickbars.sources.events import (
+    PARTITIONS,
     SYMBOLS,
     messages_from_events,
     read_events,
     stream_events,
     ticks_from_events,
 )
-from tickbars.sources.files import stream_messages
-from tickbars.streaming.jobs import average_rows, bar_rows, chained_rows
-from tickbars.streaming.replay import Ending, newest_event, replay, run_to_end
+from tickbars.sources.files import read_messages, stream_messages
+from tickbars.streaming import follow
+from tickbars.streaming.jobs import (
+    WATERMARK,
+    average_rows,
+    bar_rows,
+    chained_rows,
+    start_latest,
+    start_parts,
+    start_per_batch,
+    start_to_all,
+)
+from tickbars.streaming.replay import Ending, newest_event, newest_in, replay, run_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 PLACES = 6
+AT_ONCE = {"availableNow": True}
 ALL_USERS = 10**12
 
 
@@ -303,47 +320,205 @@ def query_source_partitions(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------------------
 
 
+def _newest_tick(spark: SparkSession, folder: str) -> str:
+    return newest_in(_ticks(spark, folder), "time")
+
+
 def query_stream_bars(spark: SparkSession, folder: str) -> DataFrame:
     ticks = ticks_from_events(stream_events(spark, folder))
-    written = replay(ticks, "time", bar_rows, "stream_bars")
+    written = replay(ticks, "time", bar_rows, "stream_bars", _newest_tick(spark, folder))
     return _bar_view(
         written, "size_per_sec", "volume_till_now", "real_data_count", "filled_data_count",
         _six("vwap_price_per_sec"),
     )
 
 
+def _topic(spark: SparkSession, rows: DataFrame) -> str:
+    topic = fresh_folder(spark, "messages")
+    encode(rows).write.parquet(topic)
+    return topic
+
+
+def _replayed(
+    spark: SparkSession,
+    topic: str,
+    name: str,
+    build: Callable[[DataFrame], DataFrame],
+    fields: tuple[str, ...] = BAR_FIELDS,
+    keyed: bool = False,
+) -> DataFrame:
+    """What ``build`` makes of the bar messages in a folder."""
+    newest = newest_in(bars_of(read_messages(spark, topic)), "start")
+    rows = bars_of(stream_messages(spark, topic), fields=fields)
+    return replay(rows, "start", build, name, newest, keyed)
+
+
 def query_stream_sma(spark: SparkSession, folder: str) -> DataFrame:
     """Bar messages to five-second averages."""
-    topic = fresh_folder(spark, "bar_messages")
-    encode(_bars(spark, folder)).write.parquet(topic)
-    rows = bars_of(stream_messages(spark, topic))
-    return _line_view(
-        replay(rows, "start", lambda r: average_rows(r, (5,), round_to=None), "stream_sma")
-    )
+    topic = _topic(spark, _bars(spark, folder))
+    return _line_view(_replayed(spark, topic, "stream_sma", lambda r: average_rows(r, (5,), round_to=None)))
 
 
 def query_stream_chained(spark: SparkSession, folder: str) -> DataFrame:
     """Ticks to averages of all durations in one query."""
     ticks = ticks_from_events(stream_events(spark, folder))
+    newest = _newest_tick(spark, folder)
     return _line_view(
-        replay(ticks, "time", lambda r: chained_rows(r, round_to=None), "stream_chained")
+        replay(ticks, "time", lambda r: chained_rows(r, round_to=None), "stream_chained", newest)
     )
 
 
 def query_stream_sma_each(spark: SparkSession, folder: str) -> DataFrame:
     """A query per duration, each with a source of its own."""
-    topic = fresh_folder(spark, "bar_messages")
-    encode(_bars(spark, folder)).write.parquet(topic)
+    topic = _topic(spark, _bars(spark, folder))
     lines = [
-        replay(
-            bars_of(stream_messages(spark, topic)), "start",
-            lambda r, d=d: average_rows(r, (d,), round_to=None), f"stream_sma_{d}",
-        )
+        _replayed(spark, topic, f"stream_sma_{d}", lambda r, d=d: average_rows(r, (d,), round_to=None))
         for d in (5, 10, 15)
     ]
     return _line_view(lines[0].unionByName(lines[1]).unionByName(lines[2]))
 
 
+def query_stream_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All durations from one source and one state of a row per second."""
+    topic = _topic(spark, _bars(spark, folder))
+    build = partial(follow.lines, watermark=WATERMARK, round_to=None)
+    return _line_view(_replayed(spark, topic, "stream_lines", build, keyed=True))
+
+
+def query_stream_sma_redelivered(spark: SparkSession, folder: str) -> DataFrame:
+    """Every bar message twice or more: in one micro-batch, in two, and after a restart. The first
+    half of the time is sent twice; after the restart everything is sent, the second half twice."""
+    rows = stored(_bars(spark, folder), "bars")
+    first, last = rows.agg(F.min("start"), F.max("start")).first()
+    half = rows.where(F.col("start") < first + (last - first) / 2)
+    run, topic = fresh_folder(spark, "redelivered"), fresh_folder(spark, "messages")
+    for sent, is_last in ((half.unionByName(half), False), (rows.unionByName(rows), True)):
+        encode(sent).write.mode("append").parquet(topic)
+        stream = Ending(bars_of(stream_messages(spark, topic)), "start", f"{run}/end")
+        if is_last:
+            stream.close(newest_in(rows, "start"))
+        lines = average_rows(stream.rows, (5,), round_to=None, each_bar_once=True)
+        run_to_end(lines, f"{run}/out", f"{run}/state", "redelivered")
+    return _line_view(spark.read.schema(lines.schema).parquet(f"{run}/out"))
+
+
+def query_stream_sma_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of each micro-batch alone, put together from the parts when they are read. The
+    second batch is late by all of the time of the first."""
+    rows = stored(_bars(spark, folder), "bars")
+    topic, run = fresh_folder(spark, "messages"), fresh_folder(spark, "parts")
+    table = Windows(f"{run}/windows")
+    odd = F.unix_seconds("start") % 7 < 3
+    for sent in (rows.where(odd), rows.where(~odd)):
+        encode(sent).write.mode("append").parquet(topic)
+        messages = stream_messages(spark, topic)
+        start_parts(messages, [table], checkpoint=f"{run}/state", trigger=AT_ONCE).awaitTermination()
+    schema = sma_lines(rows, round_to=None).schema
+    return _line_view(table.read(spark, schema, round_to=None))
+
+
+def query_stream_carry_forward(spark: SparkSession, folder: str) -> DataFrame:
+    topic = _topic(spark, _bars(spark, folder))
+    build = partial(follow.carried, watermark=WATERMARK)
+    return _bar_view(_replayed(spark, topic, "stream_carry", build, (), keyed=True), _six("carried_vwap"))
+
+
+def query_stream_gap_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """Every second from the first bar of a symbol to the newest bar of any, the close, also behind
+    the last bar of the symbol."""
+    rows = stored(_bars(spark, folder), "bars")
+    close = rows.agg(F.max(F.unix_seconds("start"))).first()[0]
+    build = partial(follow.filled, watermark=WATERMARK, until=close)
+    filled = _replayed(spark, _topic(spark, rows), "stream_fill", build, (), keyed=True)
+    return _bar_view(
+        filled, _seconds("end"), "real_data_count", "filled_data_count", "real_or_filled",
+        _six("vwap_price_per_sec"), "size_per_sec", "volume_till_now", "yesterday_price",
+    )
+
+
+def query_stream_latest_bar(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest bar of each symbol as a served table, every bar sent twice: the newer half first,
+    then all of them."""
+    rows = stored(_bars(spark, folder), "bars")
+    first, last = rows.agg(F.min("start"), F.max("start")).first()
+    newer = rows.where(F.col("start") >= first + (last - first) / 2)
+    topic, run = fresh_folder(spark, "messages"), fresh_folder(spark, "latest")
+    table = Newest(f"{run}/bars")
+    for sent in (newer, rows):
+        encode(sent).write.mode("append").parquet(topic)
+        messages = stream_messages(spark, topic)
+        start_latest(messages, [table], checkpoint=f"{run}/state", trigger=AT_ONCE).awaitTermination()
+    newest = table.read(spark, history.latest_bar(decode_bars(encode(rows))).schema)
+    return _bar_view(
+        newest, F.unix_millis("last_data_time").alias("last_data_time_ms"), "real_or_filled", "real_data_count",
+        "filled_data_count", _six("vwap_price_per_sec"), "size_per_sec", "volume_till_now",
+        "yesterday_price",
+    )
+
+
+def query_stream_to_both(spark: SparkSession, folder: str) -> DataFrame:
+    """One computation of the bars, to messages and to a table."""
+    run = fresh_folder(spark, "both")
+    ticks = ticks_from_events(stream_events(spark, folder))
+    stream = Ending(ticks, "time", f"{run}/end")
+    stream.close(_newest_tick(spark, folder))
+    rows, table = bar_rows(stream.rows), BatchTable(f"{run}/table")
+    outputs = [table, to_messages(message_files(f"{run}/messages"))]
+    start_to_all(rows, outputs, "both", f"{run}/state", AT_ONCE).awaitTermination()
+    sent = decode_bars(read_messages(spark, f"{run}/messages"))
+    columns = ("size_per_sec", "real_data_count", "filled_data_count", _six("vwap_price_per_sec"))
+    return _bar_view(table.rows(spark, rows.schema), F.lit("table").alias("output"), *columns).unionByName(
+        _bar_view(sent, F.lit("messages").alias("output"), *columns)
+    )
+
+
+def query_stream_partition_symbol(spark: SparkSession, folder: str) -> DataFrame:
+    """Source partitions named by a table that every micro-batch reads anew."""
+    run = fresh_folder(spark, "partitions")
+    events = read_events(spark, folder).select(F.col("user_id").cast("string").alias("key"), F.lit("{}").alias("value"))
+    events.withColumn("timestamp", F.current_timestamp()).write.parquet(f"{run}/in")
+    symbols = [(number, f"S{number}") for number in range(SYMBOLS)]
+    spark.createDataFrame(symbols, "partition int, symbol string").write.parquet(f"{run}/symbols")
+
+    def named(rows: DataFrame) -> DataFrame:
+        numbered = rows.withColumn("partition", (F.col("key").cast("bigint") % PARTITIONS).cast("int"))
+        table = rows.sparkSession.read.parquet(f"{run}/symbols")
+        found = history.with_partition_symbol(numbered, table, "none")
+        return found.select("partition", "partition_symbol", "timestamp")
+
+    table = BatchTable(f"{run}/out", "timestamp")
+    messages = stream_messages(spark, f"{run}/in")
+    start_per_batch(messages, named, [table], "partitions", checkpoint=f"{run}/state", trigger=AT_ONCE).awaitTermination()
+    schema = spark.createDataFrame([], "partition int, partition_symbol string, timestamp timestamp").schema
+    written = table.rows(spark, schema)
+    return written.groupBy("partition", "partition_symbol").agg(F.count("*").alias("ticks"))
+
+
+def query_rejected_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Tick messages of which six of fifty are bad, each in its own way, as dead letters."""
+    good = messages_from_events(read_events(spark, folder))
+    number = F.get_json_object("value", "$.serial").cast("bigint")
+    sent = F.timestamp_micros(F.get_json_object("value", "$.time").cast("bigint"))
+    kind, value = number % 50, F.col("value")
+    later = F.lit('"time":"2019686400000000"')
+    spoiled = (
+        F.when(kind == 0, F.substr(value, F.lit(1), (F.length(value) / 2).cast("int")))
+        .when(kind == 1, F.regexp_replace(value, r'"size":\d+', '"size":"many"'))
+        .when(kind == 2, F.regexp_replace(value, r'"time":"\d+",', ""))
+        .when(kind == 3, F.regexp_replace(value, r'"time":"\d+"', '"time":"never"'))
+        .when(kind == 4, F.regexp_replace(value, r'"symbol":"\w+",', ""))
+        .when(kind == 5, F.regexp_replace(value, F.lit(r'"time":"\d+"'), later))
+        .otherwise(value)
+    )
+    run = fresh_folder(spark, "rejected")
+    messages = good.select(number.cast("string").alias("key"), spoiled.alias("value"), sent.alias("timestamp"))
+    messages.write.parquet(f"{run}/in")
+    rows = rejected_ticks(stream_messages(spark, f"{run}/in"), ahead="1 hour")
+    run_to_end(rows, f"{run}/out", f"{run}/state", "rejected")
+    written = spark.read.schema(rows.schema).parquet(f"{run}/out")
+    return written.select(F.col("key").cast("bigint").alias("event_id"), "reason")
+
+
 def query_bars_with_bad_messages(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of messages between which bad ones stand: no JSON, wrong types, sizes beyond
     bigint in a second of their own, absurd times, and one far ahead of its message."""
@@ -361,10 +536,12 @@ def query_bars_with_bad_messages(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("timestamp", sent)
     rows.write.parquet(topic)
     ticks = ticks_of(stream_messages(spark, topic), ahead="1 hour")
-    written = replay(ticks, "time", bar_rows, "bad_messages").where("symbol <> 'BAD'")
+    written = replay(ticks, "time", bar_rows, "bad_messages", _newest_tick(spark, folder))
+    zero = F.lit(0).cast("bigint")
     return _bar_view(
-        written, "size_per_sec", "volume_till_now", "real_data_count", "filled_data_count",
-        _six("vwap_price_per_sec"),
+        written, F.col("size_per_sec").isNull().alias("size_overflow"),
+        *[F.coalesce(n, zero).alias(n) for n in ("size_per_sec", "volume_till_now")],
+        "real_data_count", "filled_data_count", _six("vwap_price_per_sec"),
     )
 
 

@@ -12,10 +12,6 @@ BAR_TYPE = "per_sec_data"
 MA_TYPE = "MA_data"
 REAL = "real"
 FILLED = "filled"
-TICK_TOPIC = "kafka_raw_data"
-BAR_TOPIC = "kafka_per_sec_data"
-MA_TOPIC = "kafka_MA_data"
-MA_AGGREGATED_TOPIC = "kafka_MA_data_aggregated"
 DURATIONS = (5, 10, 15)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickbars.session import fresh_folder
 from tickbars.sinks import row_files
-from tickbars.streaming.jobs import start
+from tickbars.streaming.jobs import rocksdb, start
 
 # How far behind the newest event an end marker lies: beyond any watermark and window.
 BEYOND = "1 day"
@@ -55,21 +56,38 @@ class Ending:
         marker.write.mode("append").parquet(self.folder)
 
 
+def newest_in(rows: DataFrame, time: str) -> str | None:
+    """The newest event time of a table, as text."""
+    return rows.agg(F.max(time).cast("string")).first()[0]
+
+
 def replay(
-    source: DataFrame, time: str, build: Callable[[DataFrame], DataFrame], name: str
+    source: DataFrame,
+    time: str,
+    build: Callable[[DataFrame], DataFrame],
+    name: str,
+    newest: str | None = None,
+    keyed: bool = False,
 ) -> DataFrame:
     """The rows that ``build`` makes of the stream ``source`` (with event time ``time``) from
     its first stored row to its last, the last windows included.
 
-    The result goes through a written table in the shared folder, not through
-    the driver.
+    With ``newest``, the newest event time of ``source``, one run does it: the end marker comes with
+    the rows, and is no danger to them in the first micro-batch, whose watermark is not set yet. So
+    the source must give all its rows in that one; without ``newest`` they may come in many, and a
+    second run brings the marker. ``keyed`` says that ``build`` keeps keyed state (``follow``). The
+    result goes through a written table in the shared folder, not through the driver.
     """
     spark = source.sparkSession
     folder = fresh_folder(spark, name)
     stream = Ending(source, time, f"{folder}/end")
-    rows = build(stream.rows)
-    newest = newest_event(run_to_end(rows, f"{folder}/out", f"{folder}/state", name))
     if newest is not None:
         stream.close(newest)
-        run_to_end(rows, f"{folder}/out", f"{folder}/state", name)
-    return spark.read.schema(rows.schema).parquet(f"{folder}/out")
+    rows = build(stream.rows)
+    out, state = f"{folder}/out", f"{folder}/state"
+    with rocksdb(spark) if keyed else nullcontext():
+        query = run_to_end(rows, out, state, name)
+        if newest is None and (newest := newest_event(query)) is not None:
+            stream.close(newest)
+            run_to_end(rows, out, state, name)
+    return spark.read.schema(rows.schema).parquet(out)
