@@ -23,6 +23,9 @@ else. Only hulls that share a core with others, and come first, are cut into run
 (``TIERS``), at last into single strings, where core and hull are the same. So nothing is missed, and
 nothing but what is equal is taken for equal.
 
+Joins hash the side of repeated names or places, of which a task has its share of a few in a hundred
+entries, so that neither the entries nor the texts are sorted for them.
+
 Hot groups: an entry is aggregated before it is shuffled, and repeated names are joined back from written
 tables, so that Spark can split a frequent one. No task ever holds the documents of a name together.
 
@@ -57,7 +60,7 @@ CHECK_BITS, START_BITS, PART_BITS, COUNT_BITS = 18, 31, 7, 7
 START_AT = PART_BITS + COUNT_BITS
 CHECK_AT = START_AT + START_BITS
 
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 NAME = ["core", "hull"]
 PLACE = ["doc_id", "at"]
 ENTRIES = "core long, hull long, doc_id long, at long"
@@ -74,10 +77,9 @@ def _low(bits: int) -> int:
 
 def _anchors(data: np.ndarray) -> np.ndarray:
     """The place of the anchor of each string of MATCH bytes, by its first byte."""
-    starts = np.arange(len(data) - GRAM + 1)
-    hashes = wordhash.span_hashes(data, starts, starts + GRAM, wordhash.EXACT[0])
+    hashes = wordhash.run_hashes(data, GRAM, wordhash.EXACT[0])
     bits = np.uint64(len(data).bit_length())
-    least = (hashes >> bits << bits) | starts.astype(np.uint64)
+    least = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     width = 1
     while width < SPAN:
         step = min(width, SPAN - width)
@@ -89,27 +91,31 @@ def _anchors(data: np.ndarray) -> np.ndarray:
 def runs(data: np.ndarray, rows: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Row, start in the row, number of strings, core and hull of each run; ``rows`` as ``wordhash.slices``
     gives it: the start of each row, with a byte that is not part of it behind each."""
-    for low in range(0, len(data), BLOCK):
+    for low in range(0, len(data) - MATCH, BLOCK):
         part = data[low : low + BLOCK + MATCH - 1]
-        if len(part) < MATCH:
-            continue
         anchors = _anchors(part)
-        starts = np.arange(len(anchors)) + low
-        row = np.searchsorted(rows, starts, "right") - 1
-        whole = np.flatnonzero(starts + MATCH <= rows[row + 1] - 1)
-        if not len(whole):
+        # Strings that reach over the end of their row are none.
+        whole = np.ones(len(anchors), bool)
+        for end in (rows[np.searchsorted(rows, low, "right") : np.searchsorted(rows, low + len(part), "right")] - 1 - low).tolist():
+            whole[max(0, end - MATCH + 1) : end + 1] = False
+        new = (anchors[1:] != anchors[:-1]) | (whole[1:] != whole[:-1])
+        if size < SPAN:
+            block = (anchors - np.arange(len(anchors))) // size
+            new |= block[1:] != block[:-1]
+        cuts = np.flatnonzero(new) + 1
+        first, last = np.concatenate([[0], cuts]), np.concatenate([cuts - 1, [len(anchors) - 1]])
+        kept = whole[first]
+        first, last = first[kept], last[kept]
+        if not len(first):
             continue
-        anchors, starts, row = anchors[whole] + low, starts[whole], row[whole]
-        block = (anchors - starts) // size
-        new = np.flatnonzero((np.diff(anchors) != 0) | (np.diff(block) != 0) | (np.diff(starts) != 1)) + 1
-        first, last = np.concatenate([[0], new]), np.concatenate([new - 1, [len(starts) - 1]])
-        core = anchors[first] - block[first] * size - low
+        row = np.searchsorted(rows, first + low, "right") - 1
+        core = first + (anchors[first] - first) % size
         yield (
-            row[first],
-            starts[first] - rows[row[first]],
+            row,
+            first + low - rows[row],
             last - first + 1,
             wordhash.span_hashes(part, core, core + MATCH - size + 1, wordhash.EXACT[0]),
-            wordhash.span_hashes(part, starts[first] - low, starts[last] - low + MATCH, wordhash.EXACT[1]),
+            wordhash.span_hashes(part, first, last + MATCH, wordhash.EXACT[1]),
         )
 
 
@@ -183,7 +189,7 @@ class Family:
             self.spark.table(array).where("n > 1 or earlier is not null").select(*NAME, F.coalesce("earlier", "first").alias("known")), "known"
         )
         later = (F.col("doc_id") > F.col("known.doc_id")) | ((F.col("doc_id") == F.col("known.doc_id")) & (F.col("at") > F.col("known.at")))
-        places = staged(batch.join(known, NAME).where(later).select(*PLACE), "places")
+        places = staged(batch.join(known.hint("shuffle_hash"), NAME).where(later).select(*PLACE), "places")
         removed(known)
         return places
 
@@ -194,7 +200,7 @@ class Family:
         for more in names[1:]:
             every = every.unionByName(more)
         cores = staged(every.groupBy("core").agg(F.count(F.lit(1)).alias("_hulls")).where("_hulls > 1").select("core"), "cores")
-        places = staged(every.join(cores, "core").select(*PLACE), "shared")
+        places = staged(every.join(cores.hint("shuffle_hash"), "core").select(*PLACE), "shared")
         removed(cores)
         return places
 
@@ -229,7 +235,7 @@ def _gathered(places: DataFrame, size: int) -> DataFrame:
 
 def _joined(pieces: DataFrame, gathered: DataFrame, how: str) -> DataFrame:
     same = (F.col("doc_id") == F.col("_doc_id")) & (F.col("origin") == F.col("_origin"))
-    return pieces.join(gathered, same, how).select("doc_id", "origin", "bytes", "places")
+    return pieces.join(gathered.hint("shuffle_hash"), same, how).select("doc_id", "origin", "bytes", "places")
 
 
 def _starts_ends(places: np.ndarray, origin: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,21 +244,29 @@ def _starts_ends(places: np.ndarray, origin: int) -> tuple[np.ndarray, np.ndarra
     return starts, starts + (places & _low(COUNT_BITS)) + MATCH - 1
 
 
+def _rows(batch: pa.RecordBatch) -> tuple[Iterator[bytes], Iterator[np.ndarray | None]]:
+    """The bytes and the places of the rows of a batch, made one by one."""
+    data, places = batch.column("bytes"), batch.column("places")
+    numbers, bounds = places.values.to_numpy(), places.offsets.to_numpy().tolist()
+    known = places.is_valid().to_pylist()
+    return (
+        (x.as_py() for x in data),
+        (numbers[bounds[k] : bounds[k + 1]] if known[k] else None for k in range(len(known))),
+    )
+
+
 def cut_out(pieces: DataFrame, places: DataFrame, size: int) -> DataFrame:
     """The bytes around the given places of ``pieces``, as pieces."""
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for doc_id, origin, data, found in zip(*(batch.column(c) for c in ("doc_id", "origin", "bytes", "places")), strict=True):
-            data, base = data.as_py(), origin.as_py()
-            starts, ends = _starts_ends(np.unique(found.values.to_numpy()), base)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([doc_id.as_py()] * len(starts), pa.int64()),
-                    pa.array(starts + base),
-                    pa.array([data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary()),
-                ],
-                ["doc_id", "origin", "bytes"],
-            )
+        origins, counts, found, out = batch.column("origin").to_numpy(), [], [], []
+        for origin, data, places in zip(origins.tolist(), *_rows(batch), strict=True):
+            starts, ends = _starts_ends(np.unique(places), origin)
+            counts.append(len(starts))
+            found.append(starts + origin)
+            out += [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+        yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(found)), pa.array(out, pa.binary())], ["doc_id", "origin", "bytes"])
 
     return wordhash.mapped(_joined(pieces, _gathered(places, size), "inner"), cut, PIECES)
 
@@ -268,12 +282,14 @@ def _bounds(documents: DataFrame, batches: int) -> list[int]:
 
 def repeats(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
     """The places (doc_id, at) of ``documents`` as :func:`_identified` gives them, whose strings start
-    earlier too, as a written table; a place may stand for several strings side by side."""
+    earlier too, as a written table; a place may stand for several strings side by side.
+
+    The entries of the first tier, nearly all there are, come in ``batches``; those cut from them in one."""
     spark = documents.sparkSession
-    bounds = _bounds(documents, batches)
-    number = sum(((F.col("doc_id") > b).cast("int") for b in bounds), F.lit(0)).alias("batch")
     pieces, found = documents, []
     for size in TIERS:
+        bounds = _bounds(documents, batches if size == SPAN else 1)
+        number = sum(((F.col("doc_id") > b).cast("int") for b in bounds), F.lit(0)).alias("batch")
         folder = fresh_folder(spark, "entries")
         entries(pieces, size).select("*", number).write.partitionBy("batch").parquet(folder)
         every = spark.read.schema(f"{ENTRIES}, batch int").parquet(folder)
@@ -309,18 +325,16 @@ def without_repeats(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out = []
-        for doc_id, origin, data, found in zip(*(batch.column(c) for c in ("doc_id", "origin", "bytes", "places")), strict=True):
-            data, spans = data.as_py(), []
-            if found.is_valid:
-                starts, ends = _starts_ends(np.unique(found.values.to_numpy()), origin.as_py())
+        for doc_id, origin, data, places in zip(batch.column("doc_id").to_pylist(), batch.column("origin").to_pylist(), *_rows(batch), strict=True):
+            spans, left, last = [], [], 0
+            if places is not None:
+                starts, ends = _starts_ends(np.unique(places), origin)
                 ends = np.maximum.accumulate(ends)
                 new = np.flatnonzero(starts[1:] > ends[:-1]) + 1
                 spans = list(zip(starts[np.concatenate([[0], new])].tolist(), ends[np.concatenate([new - 1, [-1]])].tolist(), strict=True))
-            left, last = [], 0
             for a, b in spans:
                 left.append(data[last:a])
                 last = b
-            doc_id = doc_id.as_py()
             out.append((None if doc_id == -(1 << 63) else doc_id, len(data), sum(b - a for a, b in spans), [{"start": a, "end": b} for a, b in spans], b"".join([*left, data[last:]]) if spans else data))
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary())
         columns = [pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)]

@@ -62,6 +62,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: n
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def run_hashes(data: np.ndarray, size: int, value: np.ndarray = _VALUE) -> np.ndarray:
+    """Hash of each run of ``size`` bytes, by its first byte, as :func:`span_hashes` gives it."""
+    power, inverse = _power(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(value[data] * power[: len(data)], out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * inverse[: len(data) - size + 1] + np.uint64(size))
+
+
 def word_spans(data: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First byte and byte behind the last one of each word."""
     inside = np.zeros(len(data) + 2, np.int8)
