@@ -15,7 +15,8 @@ never shuffled. Per document only hit positions and item ids leave a block, and
 blocks.
 
 Rows: null texts have no words; an item without words is none; repeated rows (equal doc_id and
-text) are reported once each; an empty benchmark hits nothing; other columns are ignored.
+text) are reported once each; an empty benchmark hits nothing; other columns are ignored
+(``clean_rows`` keeps them).
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickbars.llm import wordhash
-from tickbars.llm.tables import table
+from tickbars.llm.tables import free, table
 
 SPAN = 13
 K = 6
@@ -162,6 +164,11 @@ def hits(documents: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame
     return wordhash.mapped(documents.select("doc_id", "text"), look, HITS)
 
 
+def is_contaminated(hit, words):
+    """Fixed value: a twentieth of the words."""
+    return (hit > 0) & (20 * hit >= words)
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """REPORT: one row for each row of ``documents``."""
     found = [hits(documents, items) for items in blocks(benchmark)]
@@ -176,7 +183,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         hit = np.array([int(np.unpackbits(np.frombuffer(x, np.uint8)).sum()) if x else 0 for x in batch.column("spans").to_pylist()], np.int64)
         items = batch.column("items").to_pylist()
         names = [hashlib.sha256(",".join(sorted(map(str, x))).encode()).hexdigest() for x in items]
-        columns = [batch.column("doc_id"), pa.array(n), pa.array(hit), pa.array([len(x) for x in items], pa.int64()), pa.array(names), pa.array((hit > 0) & (20 * hit >= n))]
+        columns = [batch.column("doc_id"), pa.array(n), pa.array(hit), pa.array([len(x) for x in items], pa.int64()), pa.array(names), pa.array(is_contaminated(hit, n))]
         yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in REPORT.split(", ")])
 
     return wordhash.mapped(every, report, REPORT)
@@ -195,6 +202,42 @@ def _united(blocks_read: int):
     return united
 
 
+def clean_rows(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that are not contaminated, whole; each is judged by its own text.
+
+    One pass for each block of the benchmark marks hit words beside the row, the last one decides;
+    nothing is shuffled."""
+    context = documents.sparkSession.sparkContext
+    parts = [context.broadcast(items) for items in blocks(benchmark)]
+    flags = free("hit", documents.columns)
+    marked = T.StructType([*documents.schema.fields, T.StructField(flags, T.BinaryType())])
+    rows = documents
+    for number, shared in enumerate(parts):
+        last = number + 1 == len(parts)
+        rows = wordhash.mapped(rows, _marking(shared, flags, last), documents.schema if last else marked)
+    return rows
+
+
+def _marking(shared, flags: str, last: bool):
+    """A pass over rows that marks what one block hits, and at last keeps the clean rows."""
+    made: dict[int, Block] = {}
+
+    def mark(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        block = made.get(0) or made.setdefault(0, Block(shared.value))
+        before = batch.column(flags).to_pylist() if flags in batch.schema.names else [None] * batch.num_rows
+        found: list[np.ndarray] = []
+        for row, _, _, _, words in wordhash.text_words(batch.column("text"), wordhash.ALPHANUMERIC):
+            hit, _ = block.of(words)
+            found.append(hit if before[row] is None else hit | np.frombuffer(before[row], bool))
+        columns = {name: batch.column(name) for name in batch.schema.names if name != flags}
+        if not last:
+            columns[flags] = pa.array([x.tobytes() for x in found], pa.binary())
+        out = pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+        yield out.filter(pa.array([not is_contaminated(int(x.sum()), len(x)) for x in found])) if last else out
+
+    return mark
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in all documents; see the module."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tickbars.llm import wordhash
 from tickbars.llm.components import components
-from tickbars.llm.tables import bit_field, may_have, removed, staged, table
+from tickbars.llm.tables import bit_field, free, may_have, removed, staged, table
 
 SIZE = 4
 PERCENT = 85
@@ -260,6 +260,20 @@ def groups(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Da
     return found.unionByName(wordhash.mapped(lost, count, "doc_id long, n_shingles long, component_id long"))
 
 
+def one_of_each_group(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``documents``, whole, of which each group keeps the one with the smallest doc_id (one
+    without comes last; of rows of one doc_id the one read first). Rows are told apart by a number
+    they get when they are written, so rows that share a doc_id, or have none, are judged each."""
+    row, place = free("row", documents.columns), F.monotonically_increasing_id()
+    kept = staged(documents.withColumn(row, place), "numbered")
+    found = groups(kept.select(F.col(row).alias("doc_id"), "text"), size, percent)
+    found = found.select(F.col("doc_id").alias("_row"), "component_id")
+    named = kept.select(F.col(row).alias("_of"), F.col("doc_id").alias("_id")).join(found, F.col("_of") == F.col("_row"))
+    order = F.struct(F.col("_id").isNull().alias("missing"), F.col("_id").alias("id"), F.col("_row").alias("row"))
+    first = named.groupBy("component_id").agg(F.min(order)["row"].alias("_first")).select("_first")
+    return kept.join(first, F.col(row) == F.col("_first"), "left_semi").select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents of Jaccard similarity 0.85 over 4-word shingles; see the module."""
     return groups(table(spark, sf_dir, "documents"))

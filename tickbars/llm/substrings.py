@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.llm import wordhash
-from tickbars.llm.tables import bit_field, may_have, removed, staged, table
+from tickbars.llm.tables import bit_field, free, may_have, removed, staged, table
 
 PASSAGE = 50
 # The gear hash of a word takes in the word and the 15 before it, 4 bits for each.
@@ -155,12 +155,13 @@ def spans_of(found: np.ndarray) -> list[tuple[int, int]]:
 def deduplicated(documents: DataFrame) -> DataFrame:
     """``documents`` without repeated passages, with n_chars (of the new text), n_removed (code
     points cut out) and n_passages; these replace columns of the same names."""
-    found = repeats(documents).select(F.col("doc_id").alias("_id"), F.col("windows").alias("_windows"))
     kept = [c for c in documents.columns if c not in ("n_chars", "n_removed", "n_passages")]
-    rows = documents.select(*kept).join(found, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    key, held = free("of_id", kept), free("windows", kept)
+    found = repeats(documents).select(F.col("doc_id").alias(key), F.col("windows").alias(held))
+    rows = documents.select(*[F.col(f"`{c}`") for c in kept]).join(found, F.col("doc_id") == F.col(key), "left").drop(key)
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, windows = batch.column("text"), batch.column("_windows")
+        texts, windows = batch.column("text"), batch.column(held)
         out = texts.to_pylist()
         lost, spans_cut = [0] * len(out), [0] * len(out)
         rows_ = np.flatnonzero(windows.is_valid().to_numpy(zero_copy_only=False)).tolist()

@@ -56,6 +56,14 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     return read
 
 
+def free(name: str, columns: list[str]) -> str:
+    """``name``, or with as many underscores before it as it takes to be none of ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def held_out(doc_id: Column) -> Column:
     """The documents that nothing may be learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))

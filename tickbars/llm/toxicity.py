@@ -1,22 +1,26 @@
 """Toxicity by weak supervision.
 
-1. Features of a text are its words and their beginnings of 4, 5 and 6 bytes (a pattern that stands
-   for all words of a stem). On labelled rows, a bounded sample of ``TRAIN_ROWS`` by hash, they are
-   counted for both labels; those far more frequent under one label are kept.
-2. Voters are lexicons and patterns: of the kept features, greedily the one that marks most toxic
-   rows with fewer than two voters so far, up to ``VOTERS``; a voter votes if a text holds its feature.
-   One more voter votes against toxicity where none of them votes, and the given label is a voter.
+1. Features of a text are its words and their beginnings of 4, 5 and 6 bytes (a stem). Patterns are that
+   a feature is there, that it is there ``AGAIN`` times, and that it is there once in ``DENSE`` bytes: a
+   stem that long clean texts have by chance is dense in toxic ones. On labelled rows, a bounded
+   sample of ``TRAIN_ROWS`` by hash, patterns are counted for both labels; the ``KEPT`` that are most
+   clearly more frequent under the toxic one are the vocabulary of the model.
+2. Voters are lexicons and patterns: of the kept patterns, greedily the one that marks most toxic
+   rows with fewer than ``MARKS`` voters so far, up to ``VOTERS``, so that every kind of vocabulary
+   (a language, say) gets its own; a voter votes if a text has its pattern. One more voter votes
+   against toxicity where none of them votes. The given labels choose the voters but do not vote.
 3. A generative label model has a hidden label and, for each voter, the rates of its votes under
-   either label, and so its accuracy. Expectation maximization estimates them from the votes alone (labels only start it); the
-   correlation of two voters under the model's own labels lowers the weight of both, so voters that
-   repeat each other do not count twice.
-4. A linear classifier over all kept features learns the posterior labels. It scores every text.
+   either label, and so its accuracy. Expectation maximization estimates them from the votes alone;
+   correlations of voters under the model's own labels lower the weight of a vote by the like votes
+   cast on the same row, so voters that repeat each other do not count twice, and one that stands
+   alone counts in full.
+4. A linear classifier over all kept patterns learns the posterior labels. It scores every text.
 
 Labels, language, source and id are no features. Held-out rows are never read for 1 to 4.
 
-Rows: null and empty texts get the score of no features; a null doc_id is not held out; repeated
+Rows: null and empty texts get the score of no patterns; a null doc_id is not held out; repeated
 rows are scored each; without labels of both kinds every score is 0; empty tables give no rows;
-other columns are ignored.
+other columns are ignored (``clean_rows`` keeps them).
 """
 
 from __future__ import annotations
@@ -34,12 +38,15 @@ from tickbars.llm.tables import held_out, table
 
 TRAIN_ROWS = 16_000
 STEMS = (4, 5, 6)
+# How often, and in how many bytes once, a feature has to be there for its stronger patterns.
+AGAIN, DENSE = 2, 1000
 KEPT = 1024
 LEAST_ROWS = 5
-VOTERS = 64
+VOTERS, MARKS = 64, 2
 ROUNDS = 30
 CORRELATED = 0.1
 STEPS = 1000
+TOXIC = 0.5
 
 SCORES = "doc_id long, score double"
 
@@ -58,13 +65,21 @@ def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.
     return np.concatenate(found)
 
 
-def text_features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+def text_features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, int]]:
+    """Row, features as often as they occur, and bytes of each text."""
     for row, data, starts, ends, hashes in wordhash.text_words(texts, wordhash.ALPHANUMERIC):
-        yield row, features(data, starts, ends, hashes)
+        yield row, features(data, starts, ends, hashes), len(data)
+
+
+def patterns(found: np.ndarray, size: int) -> np.ndarray:
+    """The patterns of a text of ``size`` bytes that has the features ``found``: that a feature is
+    there at all, that it is there ``AGAIN`` times, and that it is there once in ``DENSE`` bytes."""
+    names, n = np.unique(found & ~np.uint64(3), return_counts=True)
+    return np.concatenate([names, names[n >= AGAIN] | np.uint64(1), names[n * DENSE >= size] | np.uint64(2)])
 
 
 class Lookup:
-    """Which of some known features a text has."""
+    """Which of some known patterns a text has."""
 
     def __init__(self, known: np.ndarray):
         self.order = np.argsort(known)
@@ -72,10 +87,11 @@ class Lookup:
         self.maybe = np.zeros(1 << 16, bool)
         self.maybe[(known >> np.uint64(48)).astype(np.int64)] = True
 
-    def of(self, found: np.ndarray) -> np.ndarray:
+    def of(self, found: np.ndarray, size: int) -> np.ndarray:
         found = found[self.maybe[(found >> np.uint64(48)).astype(np.int64)]]
         if not len(found) or not len(self.known):
             return np.zeros(0, np.int64)
+        found = patterns(found, size)
         at = np.minimum(np.searchsorted(self.known, found), len(self.known) - 1)
         return np.unique(self.order[at[self.known[at] == found]])
 
@@ -101,16 +117,16 @@ def label_model(votes: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, dict]
         scale = np.sqrt((rest**2).mean(axis=0)) + 1e-9
         correlation = (rest.T @ rest) / n / np.outer(scale, scale)
         np.fill_diagonal(correlation, 0)
-        weight = 1 / (1 + np.where(correlation > CORRELATED, correlation, 0).sum(axis=1))
-        logit = np.log(prior / (1 - prior)) + for_ @ (weight * np.log(yes[0] / yes[1]))
-        logit += against @ (weight * np.log(no[0] / no[1]))
+        # A vote weighs less the more voters like this one have voted on the same row.
+        weight = 1 / (1 + cast @ np.where(correlation > CORRELATED, correlation, 0))
+        logit = np.log(prior / (1 - prior)) + (weight * (for_ * np.log(yes[0] / yes[1]) + against * np.log(no[0] / no[1]))).sum(axis=1)
         new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         moved, posterior = np.abs(new - posterior).max(), new
         if moved < 1e-4:
             break
     right = posterior @ (votes > 0) + (1 - posterior) @ (votes < 0)
     accuracy = (right + 0.5) / (cast.sum(axis=0) + 1)
-    return posterior, {"prior": prior, "accuracy": accuracy, "correlation": correlation, "weight": weight}
+    return posterior, {"prior": prior, "accuracy": accuracy, "correlation": correlation}
 
 
 def linear(rows: list[np.ndarray], goal: np.ndarray, width: int) -> tuple[np.ndarray, float]:
@@ -171,7 +187,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
             label = batch.column("toxic").to_numpy(zero_copy_only=False)
             sums = {}
             for value in (0, 1):
-                sets = [np.unique(x) for row, x in text_features(batch.column("text").filter(pa.array(label == value)))]
+                sets = [patterns(x, size) for _, x, size in text_features(batch.column("text").filter(pa.array(label == value)))]
                 sums[value] = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
             for value, (name, n) in sums.items():
                 zero = np.zeros(len(n), np.int64)
@@ -187,7 +203,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
 
     def look(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(names)
-        found = [lookup.of(x).astype(np.int32).tobytes() for _, x in text_features(batch.column("text"))]
+        found = [lookup.of(x, size).astype(np.int32).tobytes() for _, x, size in text_features(batch.column("text"))]
         yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), pa.array(found, pa.binary())], ["toxic", "found"])
 
     seen = wordhash.mapped(rows.select("text", "toxic"), look, "toxic int, found binary").collect()
@@ -199,8 +215,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     voters, marks = [], np.zeros(len(sets), np.int64)
     clean = 3 * votes[given == 0].sum(axis=0)
     while len(voters) < VOTERS:
-        # Each toxic row is to have two voters, so that votes can be told from agreement.
-        gains = votes[(given == 1) & (marks < 2)].sum(axis=0) - clean
+        # Each toxic row is to have MARKS voters, so that votes can be told from agreement.
+        gains = votes[(given == 1) & (marks < MARKS)].sum(axis=0) - clean
         gains[voters] = 0
         best = int(np.argmax(gains))
         if gains[best] < LEAST_ROWS:
@@ -208,28 +224,42 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
         voters.append(best)
         marks += votes[:, best]
     cast = votes[:, voters].astype(np.int8)
-    cast = np.column_stack([cast, -(cast.sum(axis=1) == 0).astype(np.int8), 2 * given.astype(np.int8) - 1])
-    posterior, labels_ = label_model(cast, np.where(given == 1, 0.9, 0.02))
+    silent = -(cast.sum(axis=1) == 0).astype(np.int8)
+    posterior, labels_ = label_model(np.column_stack([cast, silent]), np.where(silent < 0, 0.02, 0.9))
     weight, bias = linear(sets, posterior, len(names))
     return Model(names, weight, bias, labels_)
 
 
+def _scores(texts: pa.Array, model: Model) -> np.ndarray:
+    lookup = Lookup(model.known)
+    z = np.array([model.bias + model.weight[lookup.of(x, size)].sum() for _, x, size in text_features(texts)])
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def scored(documents: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score) of every row of ``documents``."""
     if model is None:
         return documents.select("doc_id", F.lit(0.0).alias("score"))
-    names, weight, bias = model.known, model.weight, model.bias
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(names)
-        z = np.array([bias + weight[lookup.of(x)].sum() for _, x in text_features(batch.column("text"))])
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["doc_id", "score"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), model))], ["doc_id", "score"])
 
     return wordhash.mapped(documents.select("doc_id", "text"), score, SCORES)
 
 
+def clean_rows(documents: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``documents`` that score below ``TOXIC``, whole; each is judged by its own text."""
+    if model is None:
+        return documents
+
+    def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(_scores(batch.column("text"), model) < TOXIC))
+
+    return wordhash.mapped(documents, keep, documents.schema)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model learned from labels that are not held out."""
     documents = table(spark, sf_dir, "documents")
     found = scored(documents, fit(documents, table(spark, sf_dir, "labels")))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
