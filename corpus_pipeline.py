@@ -5,35 +5,36 @@ that repeats an earlier document's is cut out; documents contaminated by the ben
 is packed into sequences. SQL cannot express the first stage (a trained model) or the last one, so
 there is no SQL for the whole; tests hold the near copies, the repeats and the packing against brute
 force, and the contamination against its SQL.
+
+Rows: each row is judged by its own text or, among near copies, as a row of its own; a null or a
+repeated doc_id lets no other row go. Of rows that are copies in everything one stays. Null and empty
+texts are clean, have no near copies and nothing to cut; they stay, and are packed as their end
+token. Very long texts are read whole. Ties of doc_id among near copies go to the row read first. All
+stages but the last return the columns of ``documents``, whatever further columns these have; empty
+tables give empty tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tickbars.llm import tables
-from tickbars.llm.decontamination import contamination
-from tickbars.llm.ngram_join import groups
+from tickbars.llm import decontamination, tables, toxicity as toxic
+from tickbars.llm.ngram_join import one_of_each_group
 from tickbars.llm.packing import TOKENIZER, pack
 from tickbars.llm.substrings import deduplicated
-from tickbars.llm.toxicity import fit, scored
 
 ORACLE_SQL = None
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.5 or more go."""
-    labels = tables.table(spark, sf_dir, "labels")
-    gone = scored(docs, fit(docs, labels)).where("score >= 0.5").select("doc_id").distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti")
+    return toxic.clean_rows(docs, toxic.fit(docs, tables.table(spark, sf_dir, "labels")))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the smallest doc_id."""
+    """One document of each group stays, the one with the smallest doc_id."""
     tables.shipped(spark)
-    found = groups(docs).where("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(found.doc_id), "left_semi")
+    return one_of_each_group(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +46,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
-    found = contamination(docs, tables.table(spark, sf_dir, "benchmark"))
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone.doc_id), "left_anti")
+    return decontamination.clean_rows(docs, tables.table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
