@@ -82,7 +82,7 @@ def test_substrings_find_every_long_passage(spark):
     got = {r.doc_id: r for r in substrings.deduplicated(frame(spark, rows)).collect()}
     assert all(got[k].n_passages == 0 for k in range(60))
     found = [got[1000 + k].n_passages == 1 for k in range(60)]
-    assert sum(found) >= 59
+    assert all(found)
 
 
 def without_passages(rows):

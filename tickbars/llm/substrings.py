@@ -1,31 +1,35 @@
-"""Removing repeated passages by content-defined anchors.
+"""Removing repeated passages with content-defined chunks.
 
-A gear hash rolls over the words of a text. The anchor of ``PASSAGE`` words in a row is the least
-hash inside them. So an anchor depends on these words only, every passage has one, and the same
-passage has the same anchor wherever it stands.
+A gear hash rolls over the words of a text. The least hash inside ``PASSAGE`` words in a row is their
+anchor. So an anchor depends on these words only, every passage has one, and the same passage has the
+same anchor wherever it stands. The anchors of a text are its cuts: what lies between two of them is a
+chunk, of variable length, and words put in or taken out change the chunks around them only.
 
-Anchors are shuffled once, with the smallest and largest doc_id of each (hash aggregation, combined
-before the shuffle, so a passage in many documents is no hot key); which of them several documents
-have comes back as a bit field of fixed size. Every window of ``PASSAGE`` words with such an anchor
-is then named by two digests of all its words, and aggregated to the smallest doc_id that has this
-window. So each window finds the first document that holds the whole of it, wherever parts of it
-occur before. A window repeats if that document is an earlier one; the words of all repeating windows
-are cut out. The first document keeps them, and so stay all shorter repeats.
+**Chunks.** Passages with one anchor are neighbours. The chunks that they lie in are a run, known by the
+digests of its chunks; runs are aggregated by digest to the first document that has them. If a
+document's run is in an earlier one, so are all its passages. This settles whatever is copied
+with some words around it.
 
-A document of the same words as an earlier one needs no windows of its own: it is compared as a
-whole, and its windows all stand in the earlier one. The documents that come first with their words
-are a bit field, too.
+**Ends.** Where a repeat begins or ends, chunks reach out of it and differ. There only, passages are
+compared as such: the runs that share their anchor's ``ROLLED`` words with another run, and are the first of
+their digest, are cut into their single passages, and these are aggregated by two digests of all their
+words to the first document that has them. A passage whose run shares these words with none
+repeats nowhere.
 
-Nothing is limited or left out: anchors and bit fields only save work. Words are equal if their bytes
-are, whatever white space is between them.
+The words of all passages that an earlier document has are cut out; the first document keeps them,
+and so stay all shorter repeats. Nothing is limited or left out. Words are equal if their bytes are,
+whatever white space is between them.
+
+Runs and passages are combined before they are shuffled, and repeated ones joined back from written
+tables, so a passage in a third of all documents is no hot key.
 
 Rows: a null text stays null; rows without doc_id and rows that repeat a doc_id are no other
-document for each other and stay as they are; an empty table gives no rows; other columns are kept.
+document for each other and stay as they are; an empty table gives no rows; other columns are kept,
+whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,14 +38,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars.llm import wordhash
-from tickbars.llm.tables import bit_field, free, may_have, removed, staged, table
+from tickbars.llm.tables import free, removed, settled, staged, table
 
 PASSAGE = 50
 # The gear hash of a word takes in the word and the 15 before it, 4 bits for each.
 ROLLED, BITS = 16, 4
+# Bits of a word's place beside its hash; the same for all texts, so that all break ties alike.
+PLACE_BITS = 31
 
-ANCHORS = "anchor long, whole boolean, doc_id long"
-WINDOWS = "digest long, second long, doc_id long"
+RUNS = "core long, run long, doc_id long"
+PASSAGES = "digest long, second long, doc_id long"
 RESULT = "n_chars long, n_removed long, n_passages int"
 
 
@@ -55,30 +61,55 @@ def gear(words: np.ndarray) -> np.ndarray:
 
 
 def anchors(words: np.ndarray) -> np.ndarray:
-    """The anchor of each window of PASSAGE words, by its first word."""
+    """The place of the anchor (its first word) of each PASSAGE words, by their first word."""
     if len(words) < PASSAGE:
-        return np.zeros(0, np.uint64)
-    least, width, wanted = gear(words), 1, PASSAGE - ROLLED + 1
+        return np.zeros(0, np.int64)
+    hashes, width, wanted = gear(words), 1, PASSAGE - ROLLED + 1
+    bits = np.uint64(PLACE_BITS)
+    least = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     while width < wanted:
         step = min(width, wanted - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
-    return least
-
-
-def _texts(texts: pa.Array) -> Iterator[tuple]:
-    """``wordhash.text_words``, where capital letters are not small ones."""
-    return wordhash.text_words(texts, wordhash.NOT_SPACE, wordhash.EXACT[0])
-
-
-def _seconds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The second digest of each window of PASSAGE words."""
-    return wordhash.shingles(_spans(data, starts, ends, wordhash.EXACT[1]), PASSAGE)
-
-
-def _whole(words: np.ndarray) -> np.ndarray:
-    """Two digests of all words of a text."""
-    return np.frombuffer(hashlib.blake2b(words.tobytes(), digest_size=16).digest(), np.uint64)
+    return (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+
+
+class Text:
+    """The chunks of a text, by two hashes of each word."""
+
+    def __init__(self, words: np.ndarray, others: np.ndarray):
+        self.words, self.others = words, others
+        places = anchors(words)
+        new = np.flatnonzero(places[1:] != places[:-1]) + 1
+        # Passages of one anchor: the first words of the first and the last of them.
+        self.first = np.concatenate([[0], new])
+        self.last = np.concatenate([new - 1, [len(places) - 1]])
+        at = places[self.first]
+        self.core = wordhash.sequence_hashes(words, at, at + ROLLED)
+        cuts = np.unique(np.concatenate([[0], at, [len(words)]]))
+        chunks = wordhash.sequence_hashes(others, cuts[:-1], cuts[1:])
+        low = np.searchsorted(cuts, self.first, "right") - 1
+        high = np.searchsorted(cuts, self.last + PASSAGE, "left")
+        self.run = wordhash.sequence_hashes(chunks, low, high)
+
+    def passages(self, runs: np.ndarray) -> np.ndarray:
+        """The first words of the passages of these runs (flags)."""
+        edges = np.zeros(self.last[-1] + 2, np.int32)
+        edges[self.first[runs]] += 1
+        edges[self.last[runs] + 1] -= 1
+        return np.flatnonzero(np.cumsum(edges))
+
+    def names(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The two digests of the passages that begin there."""
+        return wordhash.sequence_hashes(self.words, at, at + PASSAGE), wordhash.sequence_hashes(self.others, at, at + PASSAGE)
+
+
+def _texts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, Text]]:
+    """Row, bytes, starts and ends of words, and chunks of each text of at least one passage; capital
+    letters are not small ones."""
+    for row, data, starts, ends, words in wordhash.text_words(texts, wordhash.NOT_SPACE, wordhash.EXACT[0]):
+        if len(words) >= PASSAGE:
+            yield row, data, starts, ends, Text(words, _spans(data, starts, ends, wordhash.EXACT[1]))
 
 
 def _spans(data: np.ndarray, first: np.ndarray, last: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -94,57 +125,59 @@ def _spans(data: np.ndarray, first: np.ndarray, last: np.ndarray, value: np.ndar
     return np.concatenate(out)
 
 
+def _columns(batch: pa.RecordBatch, names: str, rows: list[int], found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Two columns of hashes, and the doc_ids of the rows that they were found in."""
+    sizes = [len(x[0]) for x in found]
+    columns = [pa.array(np.concatenate([np.zeros(0, np.uint64), *x]).view(np.int64)) for x in (zip(*found, strict=True) if found else ((), ()))]
+    ids = batch.column("doc_id").take(pa.array(np.repeat(rows, sizes).astype(np.int64)))
+    return pa.RecordBatch.from_arrays([*columns, ids], [x.split()[0] for x in names.split(", ")])
+
+
 def repeats(documents: DataFrame) -> DataFrame:
-    """(doc_id, windows) of the documents with windows that an earlier document has; a window, or
-    a whole document, is known by its second digest."""
-
-    def all_anchors(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found, rows, whole = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-        for row, _, _, _, words in _texts(batch.column("text")):
-            if len(words) >= PASSAGE:
-                one = np.unique(anchors(words))
-                found += [one, _whole(words)[:1]]
-                rows.append(np.full(len(one) + 1, row))
-                whole.append(np.arange(len(one) + 1) == len(one))
-        columns = [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(whole)), batch.column("doc_id").take(pa.array(np.concatenate(rows)))]
-        yield pa.RecordBatch.from_arrays(columns, ["anchor", "whole", "doc_id"])
-
-    rows = documents.where("doc_id is not null").select("doc_id", "text")
-    several = wordhash.mapped(rows, all_anchors, ANCHORS).groupBy("anchor", "whole").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    several = staged(several.where("whole or first < last").drop("last"), "anchors")
-    field = rows.sparkSession.sparkContext.broadcast(bit_field(several.where("not whole"), "anchor"))
-    leading = rows.sparkSession.sparkContext.broadcast(bit_field(several.where("whole"), "first"))
-    removed(several)
-
-    def some_windows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        one, two, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        leads = may_have(leading.value, batch.column("doc_id").to_numpy())
-        for row, data, starts, ends, words in _texts(batch.column("text")):
-            hit = np.flatnonzero(may_have(field.value, anchors(words).view(np.int64)))
-            # All anchors of a copy repeat, and so do those of what it is a copy of.
-            if len(hit) and len(hit) == len(words) - PASSAGE + 1:
-                whole = _whole(words)
-                one.append(whole[:1])
-                two.append(whole[1:])
-                rows.append(np.full(1, row))
-            if len(hit) and leads[row]:
-                digest, first = np.unique(wordhash.shingles(words, PASSAGE)[hit], return_index=True)
-                one.append(digest)
-                two.append(_seconds(data, starts, ends)[hit[first]])
-                rows.append(np.full(len(digest), row))
-        columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (one, two)]
-        yield pa.RecordBatch.from_arrays([*columns, batch.column("doc_id").take(pa.array(np.concatenate(rows)))], ["digest", "second", "doc_id"])
-
-    windows = staged(wordhash.mapped(rows, some_windows, WINDOWS), "windows")
-    first = windows.groupBy("digest", "second").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    # Written, so that the join below deals both sides anew and Spark can split a frequent window.
+    """(doc_id, runs, passages): the digests of the runs of chunks, and of the single passages, that an
+    earlier document has, too."""
+
+    def all_runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows, found = [], []
+        for row, _, _, _, text in _texts(batch.column("text")):
+            rows.append(row)
+            found.append((text.core, text.run))
+        yield _columns(batch, RUNS, rows, found)
+
+    documents = documents.where("doc_id is not null").select("doc_id", "text")
+    every = staged(wordhash.mapped(documents, all_runs, RUNS), "runs")
+    runs = staged(every.groupBy("core", "run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")), "firsts")
+    # Joined from written tables, so that both sides are dealt anew and Spark can split a frequent run.
+    known = runs.where("first < last").select("core", "run", "first").hint("shuffle_hash")
+    later = staged(every.join(known, ["core", "run"]).where("doc_id > first").select("doc_id", "run"), "later")
+    removed(every)
+    several = runs.groupBy("core").agg(F.min("first").alias("low"), F.max("first").alias("high"))
+    several = staged(several.where("low < high").select("core"), "cores")
+    ends = runs.join(several.hint("shuffle_hash"), "core").groupBy(F.col("first").alias("of")).agg(F.collect_list("run").alias("ends"))
+    settled(documents.sparkSession)
+
+    def single(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows, found, wanted = [], [], batch.column("ends")
+        for row, _, _, _, text in _texts(batch.column("text")):
+            at = text.passages(np.isin(text.run.view(np.int64), wanted[row].values.to_numpy()))
+            rows.append(row)
+            found.append(text.names(at))
+        yield _columns(batch, PASSAGES, rows, found)
+
+    cut = documents.join(ends.hint("shuffle_hash"), F.col("doc_id") == F.col("of")).select("doc_id", "text", "ends")
+    passages = staged(wordhash.mapped(cut, single, PASSAGES), "passages")
+    removed(runs, several)
+    first = passages.groupBy("digest", "second").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     first = staged(first.where("first < last").drop("last"), "firsts")
-    later = windows.join(first, ["digest", "second"]).where("doc_id > first")
-    return later.groupBy("doc_id").agg(F.collect_list("second").alias("windows"))
+    found = passages.join(first.hint("shuffle_hash"), ["digest", "second"]).where("doc_id > first").select("doc_id", "second")
+    found = staged(later.unionByName(found, allowMissingColumns=True), "found")
+    removed(passages, first, later)
+    settled(documents.sparkSession)
+    return found.groupBy("doc_id").agg(F.collect_list("run").alias("runs"), F.collect_list("second").alias("passages"))
 
 
 def spans_of(found: np.ndarray) -> list[tuple[int, int]]:
-    """Word spans to cut out: what the windows that begin at the words ``found`` cover."""
+    """Word spans to cut out: what the passages that begin at the words ``found`` cover."""
     if not len(found):
         return []
     new = np.flatnonzero(np.diff(found) > PASSAGE) + 1
@@ -156,30 +189,32 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     """``documents`` without repeated passages, with n_chars (of the new text), n_removed (code
     points cut out) and n_passages; these replace columns of the same names."""
     kept = [c for c in documents.columns if c not in ("n_chars", "n_removed", "n_passages")]
-    key, held = free("of_id", kept), free("windows", kept)
-    found = repeats(documents).select(F.col("doc_id").alias(key), F.col("windows").alias(held))
+    key, runs, passages = (free(name, kept) for name in ("of_id", "known_runs", "known_passages"))
+    found = repeats(documents).toDF(key, runs, passages).hint("shuffle_hash")
     rows = documents.select(*[F.col(f"`{c}`") for c in kept]).join(found, F.col("doc_id") == F.col(key), "left").drop(key)
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, windows = batch.column("text"), batch.column(held)
+        texts, whole, single = batch.column("text"), batch.column(runs), batch.column(passages)
         out = texts.to_pylist()
         lost, spans_cut = [0] * len(out), [0] * len(out)
-        rows_ = np.flatnonzero(windows.is_valid().to_numpy(zero_copy_only=False)).tolist()
-        for at, (_, data, starts, ends, words) in zip(rows_, _texts(texts.take(pa.array(rows_, pa.int64()))), strict=True):
-            raw, left, last = data.tobytes(), [], 0
-            known = windows[at].values.to_numpy()
-            if len(words) >= PASSAGE and _whole(words).view(np.int64)[1] in known:
-                spans = [(0, len(words))]
-            else:
-                spans = spans_of(np.flatnonzero(np.isin(_seconds(data, starts, ends).view(np.int64), known)))
+        rows_ = np.flatnonzero(whole.is_valid().to_numpy(zero_copy_only=False))
+        for k, data, starts, ends, text in _texts(texts.take(pa.array(rows_, pa.int64()))):
+            at = int(rows_[k])
+            gone = text.passages(np.isin(text.run.view(np.int64), whole[at].values.to_numpy()))
+            if len(single[at]):
+                every = np.arange(text.last[-1] + 1)
+                again = np.isin(text.names(every)[1].view(np.int64), single[at].values.to_numpy())
+                gone = np.union1d(gone, np.flatnonzero(again))
+            spans = spans_of(gone)
             if not spans:
                 continue
+            raw, left, last = data.tobytes(), [], 0
             for a, b in spans:
                 left.append(raw[last : starts[a]])
                 last = int(starts[b]) if b < len(starts) else int(ends[b - 1])
-            text = (b"".join(left) + raw[last:]).decode("utf-8", "replace")
-            lost[at], spans_cut[at] = len(out[at]) - len(text), len(spans)
-            out[at] = text
+            shorter = (b"".join(left) + raw[last:]).decode("utf-8", "replace")
+            lost[at], spans_cut[at] = len(out[at]) - len(shorter), len(spans)
+            out[at] = shorter
         columns = {c: batch.column(c) for c in kept} | {
             "text": pa.array(out, pa.string()),
             "n_chars": pa.array([None if x is None else len(x) for x in out], pa.int64()),

@@ -61,6 +61,7 @@ START_AT = PART_BITS + COUNT_BITS
 CHECK_AT = START_AT + START_BITS
 
 BLOCK = 1 << 16
+PLACE_BITS = 17
 NAME = ["core", "hull"]
 PLACE = ["doc_id", "at"]
 ENTRIES = "core long, hull long, doc_id long, at long"
@@ -78,14 +79,14 @@ def _low(bits: int) -> int:
 def _anchors(data: np.ndarray) -> np.ndarray:
     """The place of the anchor of each string of MATCH bytes, by its first byte."""
     hashes = wordhash.run_hashes(data, GRAM, wordhash.EXACT[0])
-    bits = np.uint64(len(data).bit_length())
+    bits = np.uint64(PLACE_BITS)  # the same for all, so that every text breaks ties alike
     least = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
     width = 1
     while width < SPAN:
         step = min(width, SPAN - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
-    return (least & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+    return (least & np.uint64(_low(PLACE_BITS))).astype(np.int64)
 
 
 def runs(data: np.ndarray, rows: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, ...]]:

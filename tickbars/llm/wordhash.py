@@ -56,9 +56,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np.ndarray = _VALUE) -> np.ndarray:
     """Hash of each span of ``data``, with the given number for each byte."""
-    power, inverse = _power(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(value[data] * power[: len(data)], out=sums[1:])
+    return sequence_hashes(value[data], starts, ends)
+
+
+def sequence_hashes(numbers: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span of ``numbers``, such as hashes of words or chunks."""
+    power, inverse = _power(len(numbers) + 1)
+    sums = np.zeros(len(numbers) + 1, np.uint64)
+    np.cumsum(numbers * power[: len(numbers)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
