@@ -25,13 +25,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickbars.llm.tables import staged, table
+from tickbars.llm.tables import table
 
 IDENTITY = 8
 SEEDS = 2
 RUN = 8
 WORD = 32
-BLOCK_BITS = 10
+BUCKETS, MOST_BUCKETS, FAN = 8, 4096, 64
 
 # Lanes of 21 bits, three to a long; of the bits of a hash, the first SHIFTS of each lane count.
 LANE, SHIFTS = 21, 16
@@ -146,31 +146,41 @@ def written(mark: Column) -> Column:
     return F.concat_ws("-", short, F.hex(mark["runs"]), lanes)
 
 
-def _next_firsts(documents: DataFrame) -> DataFrame:
-    """For each block of ids, the first doc_id behind it (behind the last block: the first of all).
+def _bucket(documents: DataFrame) -> Column:
+    """The bucket of a doc_id: ranges of ids with about as many rows each, however the ids lie. There are
+    BUCKETS for each shuffle partition, at most MOST_BUCKETS; found among so many bounds in two steps."""
+    spark = documents.sparkSession
+    n = min(MOST_BUCKETS, BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bounds = documents.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 20 * n)).first()[0]
+    bounds = sorted(set(bounds or []))
+    parts = [bounds[k : k + FAN] for k in range(0, len(bounds), FAN)] or [[]]
 
-    Blocks of blocks keep every window small: a window holds 2^BLOCK_BITS blocks, and the last one,
-    over blocks of blocks, a millionth of the documents.
-    """
-    blocks = documents.groupBy("block").agg(F.min("doc_id").alias("first")).withColumn("upper", F.shiftright("block", BLOCK_BITS))
-    uppers = blocks.groupBy("upper").agg(F.min("first").alias("upper_first"))
-    every = Window.orderBy("upper").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    uppers = uppers.select(
-        "upper",
-        F.coalesce(F.lead("upper_first").over(Window.orderBy("upper")), F.min("upper_first").over(every)).alias("behind"),
-    )
-    inner = Window.partitionBy("upper").orderBy("block")
-    return blocks.withColumn("lead", F.lead("first").over(inner)).join(uppers, "upper").select("block", F.coalesce("lead", "behind").alias("first"))
+    def behind(bounds: Column) -> Column:
+        return F.size(F.filter(bounds, lambda b: b < F.col("doc_id")))
+
+    longs = "array<long>"
+    upper = behind(F.array(*[lit(part[-1]) for part in parts[:-1]]).cast(longs))
+    fine = F.array(*[F.array(*[lit(b) for b in part]).cast(longs) for part in parts])
+    return upper * (FAN + 1) + behind(F.element_at(fine, upper + 1))
+
+
+def _next_firsts(documents: DataFrame) -> DataFrame:
+    """For each bucket (one row, MOST_BUCKETS at most), the first doc_id behind it (behind the last: the
+    first of all)."""
+    rows = documents.groupBy("block").agg(F.min("doc_id").alias("first")).collect()
+    firsts = sorted((r["block"], r["first"]) for r in rows)
+    links = [(block, firsts[(k + 1) % len(firsts)][1]) for k, (block, _) in enumerate(firsts)]
+    return documents.sparkSession.createDataFrame(links, "block int, first long")
 
 
 def with_next(documents: DataFrame, columns: list[str], more: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``more(documents)`` with ``columns`` of the document that follows by doc_id, as ``next_*``.
 
-    Blocks of 2^BLOCK_BITS consecutive ids are windows of bounded size; the one document behind a
-    block comes from a table with a row for each block. ``more`` adds columns row by row.
+    Buckets of ids are the windows; the one document behind a bucket comes from a table with a row
+    for each bucket. ``more`` adds columns row by row.
     """
-    rows = documents.withColumn("block", F.shiftright("doc_id", BLOCK_BITS))
-    links = staged(_next_firsts(rows.where("doc_id is not null").select("doc_id", "block")), "blocks")
+    rows = documents.withColumn("block", _bucket(documents.select("doc_id")))
+    links = F.broadcast(_next_firsts(rows.where("doc_id is not null").select("doc_id", "block")))
     behind = more(rows.drop("block").join(links.select(F.col("first").alias("doc_id"), F.col("block").alias("before")), "doc_id"))
     behind = behind.groupBy("before").agg(F.min(F.struct(*columns)).alias("behind")).withColumnRenamed("before", "block")
     order = Window.partitionBy("block").orderBy("doc_id", "text")
