@@ -10,18 +10,21 @@ from tickbars.llm.tables import removed, staged
 LINK = "a long, b long"
 
 
-def _stars(links: DataFrame, small: bool) -> DataFrame:
-    """Hang the neighbours of each node (for a small star, the smaller ones) on the smallest node."""
+def _stars(links: DataFrame, small: bool) -> tuple[DataFrame, DataFrame]:
+    """Hang the neighbours of each node (for a small star, the smaller ones) on the smallest node; also
+    gives the table of these, which may go once the result is written."""
     both = links if small else links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if small:
         both = both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("root"))
+    # Written, so that the join deals both sides anew and Spark can split the links of a large star.
+    least = staged(least, "least")
     near = both.join(least, "a")
     if small:
         hung = near.select(F.explode(F.array("a", "b")).alias("b"), F.col("root").alias("a"))
     else:
         hung = near.where("b > a").select("b", F.col("root").alias("a"))
-    return hung.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")).distinct()
+    return hung.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")).distinct(), least
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,8 +36,11 @@ def components(links: DataFrame) -> DataFrame:
     size = F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))
     before = None
     while True:
-        old, now = now, staged(_stars(_stars(now, False), True), "links")
-        removed(old)
+        large, one = _stars(now, False)
+        large = staged(large, "links")
+        small, two = _stars(large, True)
+        old, now = now, staged(small, "links")
+        removed(old, large, one, two)
         state = tuple(now.agg(F.count("*"), size).first())
         if state == before or state[0] == 0:
             break

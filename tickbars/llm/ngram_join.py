@@ -9,9 +9,9 @@ fragment; for a pair the overlaps of the parts are counted fragment by fragment
   ``n - ceil(0.85 n) + 1`` of both. Equal sets are one class, so copies meet only once.
 * **No pairs within a group.** In the list of one shingle, every class is first paired with one
   pivot only (the class with the least before this shingle). The links found so make components.
-  Then classes of different components that share a shingle are paired, so no link between
-  components is lost, while links within one, which change nothing, are not looked for. Of the
-  component with most classes in a list, no two are paired.
+  Then classes of different components that share a shingle, and lie in the same or the next
+  bucket of sizes, are paired, so no link between components is lost, while links within one, which
+  change nothing, are not looked for. Of the component with most classes in a list, no two are paired.
 * **Filters** by size and by the places of the first common shingle drop only pairs that cannot
   reach the similarity.
 
@@ -24,6 +24,7 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tickbars.llm import wordhash
 from tickbars.llm.components import components
-from tickbars.llm.tables import bit_field, free, may_have, removed, staged, table
+from tickbars.llm.tables import bit_field, free, may_have, removed, settled, staged, table
 
 SIZE = 4
 PERCENT = 85
@@ -128,17 +129,23 @@ def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
 
     sets = staged(wordhash.mapped(documents, prefixes, SETS), "sets")
     classes = staged(sets.where("n > 0").groupBy("v").agg(F.min("doc_id").alias("least")), "classes")
-    # One row for each class and shingle of its prefix; size and place share a column.
+    # One row for each class and shingle of its prefix, before any list is put together; size and place
+    # share a column.
     rows = sets.select("v", "n", F.posexplode("prefix").alias("at", "token"))
     rows = rows.select("token", "v", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at").cast("long")).alias("size_at"))
-    from pyspark.sql import Window
-
-    at = F.col("size_at").bitwiseAND(F.lit(0xFFFFFFFF))
-    window = Window.partitionBy("token").orderBy("least", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lists = rows.withColumn("least", at).withColumn("pivot", F.first(F.struct("v", "size_at")).over(window))
-    # Rows of a list with one class only are of no use; the pivot's own row is added again below.
-    lists = lists.where("v <> pivot.v").select("token", "v", "size_at", F.col("pivot.v").alias("pv"), F.col("pivot.size_at").alias("ps")).distinct()
-    lists = staged(lists, "lists")
+    rows = staged(rows.distinct(), "tokens")
+    at_size = F.shiftleft("size_at", 32).bitwiseOR(F.shiftright("size_at", 32))
+    pivots = rows.groupBy("token").agg(F.min_by("v", at_size).alias("pv"), F.count(F.lit(1)).alias("classes"))
+    # Lists of one class only are of no use. Both sides are written tables, so a long list can be split.
+    pivots = staged(pivots.where("classes > 1").drop("classes"), "pivots")
+    listed = staged(rows.join(pivots.hint("shuffle_hash"), "token"), "lists")
+    removed(rows, pivots)
+    settled(spark)
+    own = listed.where("v = pv").select(F.col("token").alias("_token"), F.col("size_at").alias("ps"))
+    # The pivot's own row is added again below.
+    lists = listed.where("v <> pv").join(own.hint("shuffle_hash"), F.col("token") == F.col("_token"))
+    lists = staged(lists.select("token", "v", "size_at", "pv", "ps"), "lists")
+    removed(listed)
 
     def may(one, other):
         """Whether the filters leave the pair, given sizes and places in the list."""
@@ -160,12 +167,18 @@ def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     counts = member.groupBy("token", "root").agg(F.count("*").alias("c"))
     most = counts.groupBy("token").agg(F.max(F.struct("c", "root"))["root"].alias("most"), F.count("*").alias("kinds")).where("kinds > 1").select("token", "most")
     other = member.join(most, "token")
-    left = other.where("root <> most").select("token", F.col("v").alias("lv"), F.col("size_at").alias("ls"), F.col("root").alias("lr"))
-    crossed = left.join(other, "token").where((F.col("lr") != F.col("root")) & ((F.col("root") == F.col("most")) | (F.col("lv") < F.col("v"))))
+    # Classes of a list meet only if their sizes may be alike: those of one bucket of sizes and the next.
+    bucket = F.floor(F.log(F.shiftright("size_at", 32).cast("double")) / math.log(100 / percent)).cast("int")
+    other = staged(other.withColumn("bucket", bucket), "others")
+    left = other.where("root <> most").select(
+        "token", F.explode(F.sequence(F.col("bucket") - 1, F.col("bucket") + 1)).alias("bucket"),
+        F.col("v").alias("lv"), F.col("size_at").alias("ls"), F.col("root").alias("lr"),
+    )
+    crossed = left.join(other, ["token", "bucket"]).where((F.col("lr") != F.col("root")) & ((F.col("root") == F.col("most")) | (F.col("lv") < F.col("v"))))
     crossed = crossed.where(may(F.col("ls"), F.col("size_at"))).select(*pair(F.col("lv"), F.col("v"))).distinct()
     crossed = crossed.join(starred, ["a", "b"], "left_anti")
     crossed = staged(crossed, "pairs")
-    removed(lists, member, starred)
+    removed(lists, member, starred, other)
     second = verified(documents, classes, crossed, shared, size, percent)
     removed(crossed)
     return sets.drop("prefix"), classes, first.unionByName(second)
