@@ -1,5 +1,6 @@
 """Whole rows, judged each by itself: stages of the pipeline, names that clash, neighbours, labels."""
 
+import hashlib
 import math
 import os
 import random
@@ -11,7 +12,7 @@ import pytest
 from llm import cases
 from llm.test_operators import labelled
 from pyspark.sql import functions as F
-from tickbars.llm import decontamination, extraction, language, ngram_join, substrings, toxicity
+from tickbars.llm import decontamination, extraction, fingerprints, language, ngram_join, substrings, toxicity
 from tickbars.llm.tables import held_out
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -188,3 +189,68 @@ def test_held_out_recall_of_toxicity(spark):
     assert sum(r.marked for r in clean) <= 0.01 * len(clean)
     for lang in {r.lang for r in toxic}:
         assert sum(r.marked for r in toxic if r.lang == lang) >= 0.8 * sum(r.lang == lang for r in toxic), lang
+
+
+def likeness(one, other):
+    """Of two written fingerprints, lane by lane."""
+    (_, runs, lanes), (_, more, others) = (x.split("-") for x in (one, other))
+    runs, more = int(runs, 16), int(more, 16)
+
+    def split(text):
+        return [int(text[k : k + 16], 16) >> s & (1 << 21) - 1 for k in range(0, len(text), 16) for s in (0, 21, 42)]
+
+    def square(x, y, n):
+        return sum((((2 * (a - b) - n + (1 << 21)) % (1 << 22)) - (1 << 21)) ** 2 for a, b in zip(x, y, strict=True))
+
+    a, b = split(lanes), split(others)
+    sizes = square(a, [0] * len(a), runs) + square(b, [0] * len(b), more)
+    return 1.0 if sizes == 0 else max(0.0, 1 - square(a, b, runs - more) / sizes)
+
+
+@pytest.mark.parametrize("ids", ("dense", "sparse", "hashed", "one"))
+def test_neighbours_of_fingerprints(spark, ids, monkeypatch):
+    """The next document by id, over all buckets, however the ids lie; likeness against its lanes."""
+    rng = random.Random(9)
+    made = {"dense": range(90), "sparse": [k << 40 for k in range(-45, 45)], "hashed": [rng.getrandbits(63) for _ in range(90)], "one": [5]}[ids]
+    base = [cases.prose(rng, rng.randint(0, 120)) for _ in range(20)]
+    rows = [(i, rng.choice(base) + rng.choice(["", "\n" + rng.choice(base)])) for i in made]
+    monkeypatch.setattr(fingerprints, "FAN", 3)
+    rng.shuffle(rows)
+    got = {r.doc_id: r for r in fingerprints.fingerprints(cases.frame(spark, rows).repartition(5)).collect()}
+    order = sorted(rows)
+    assert len(got) == len(rows)
+    for k, (i, text) in enumerate(order):
+        follows, after = order[(k + 1) % len(order)]
+        edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert math.isclose(got[i].near_next, likeness(got[i].fingerprint, got[follows].fingerprint), abs_tol=1e-9)
+        assert math.isclose(got[i].near_edited, likeness(got[i].fingerprint, got[i].edited_fingerprint), abs_tol=1e-9)
+
+
+def test_likeness_follows_how_much_is_shared(spark):
+    rng = random.Random(10)
+    words = cases.prose(rng, 2000).split()
+    rows = [(0, " ".join(words))]
+    for k, share in enumerate((1.0, 0.9, 0.5, 0.0)):
+        changed = [w if rng.random() < share ** (1 / 8) else cases.prose(rng, 1) + "x" for w in words]
+        rows.append((k + 1, " ".join(changed)))
+    got = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(cases.frame(spark, rows)).collect()}
+    found = [likeness(got[0], got[k]) for k in (1, 2, 3, 4)]
+    assert found[0] == 1.0 and all(abs(a - b) < 0.15 for a, b in zip(found[1:], (0.9, 0.5, 0.0), strict=True))
+
+
+def test_classes_of_one_list_that_are_not_alike(spark):
+    """Many documents of one rare line and other words of their own: no pairs, whatever their sizes."""
+    rng = random.Random(12)
+    line = "this one line stands in all of them"
+    rows = [(k, line + " " + cases.prose(rng, rng.randint(5, 60))) for k in range(300)]
+    rows += [(1000 + k, rows[7 * k][1] + " end") for k in range(20) if len(rows[7 * k][1].split()) > 30]
+    got = {r.doc_id: r.component_id for r in ngram_join.groups(cases.frame(spark, rows)).collect()}
+    split = {i: t.split() for i, t in rows}
+    sets = {i: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} for i, w in split.items()}
+    want = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                want = {k: want[i] if v == want[j] else v for k, v in want.items()}
+    assert got == want
