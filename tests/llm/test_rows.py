@@ -12,7 +12,7 @@ import pytest
 from llm import cases
 from llm.test_operators import labelled
 from pyspark.sql import functions as F
-from tickbars.llm import decontamination, extraction, fingerprints, language, ngram_join, substrings, toxicity
+from tickbars.llm import decontamination, extraction, fingerprints, language, ngram_join, substrings, tables, toxicity
 from tickbars.llm.tables import held_out
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -254,3 +254,12 @@ def test_classes_of_one_list_that_are_not_alike(spark):
             if i < j and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
                 want = {k: want[i] if v == want[j] else v for k, v in want.items()}
     assert got == want
+
+
+def test_only_tables_written_here_are_deleted(spark, tmp_path):
+    path = str(tmp_path / "own")
+    spark.range(3).write.parquet(path)
+    own, written = spark.read.parquet(path), tables.staged(spark.range(4), "some")
+    tables.removed(own, written, spark.range(2))
+    assert spark.read.parquet(path).count() == 3
+    assert not os.path.exists(written._tickbars_folder)
