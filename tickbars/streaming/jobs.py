@@ -267,7 +267,8 @@ def start_parts(
 ) -> StreamingQuery:
     """Bar messages to the windows of each micro-batch alone, without state or watermark: values at
     once, and however late a bar comes, it is not lost. A window that lies in several batches is
-    written in parts; ``sinks.tables.Windows`` puts them together when it is read."""
+    written in parts; ``sinks.tables.Windows`` puts them together when it is read. A batch that comes
+    again changes nothing, but a bar that its topic delivers again in another batch counts again."""
 
     def parts(messages: DataFrame) -> DataFrame:
         rows = decode_bars(messages, lenient, fields=BAR_FIELDS)
