@@ -134,6 +134,8 @@ def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     rows = sets.select("v", "n", F.posexplode("prefix").alias("at", "token"))
     rows = rows.select("token", "v", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("at").cast("long")).alias("size_at"))
     rows = staged(rows.distinct(), "tokens")
+    names = staged(sets.drop("prefix"), "names")
+    removed(sets)
     at_size = F.shiftleft("size_at", 32).bitwiseOR(F.shiftright("size_at", 32))
     pivots = rows.groupBy("token").agg(F.min_by("v", at_size).alias("pv"), F.count(F.lit(1)).alias("classes"))
     # Lists of one class only are of no use. Both sides are written tables, so a long list can be split.
@@ -159,7 +161,9 @@ def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     starred = lists.where(may(F.col("size_at"), F.col("ps"))).select(*pair(F.col("v"), F.col("pv"))).distinct()
     starred = staged(starred, "pairs")
     first = verified(documents, classes, starred, shared, size, percent)
+    settled(spark)
     roots = components(first)
+    settled(spark)
     # Every class of a list with its component.
     member = lists.select("token", "v", "size_at").unionByName(lists.select("token", F.col("pv").alias("v"), F.col("ps").alias("size_at"))).distinct()
     member = member.join(roots, member.v == roots.node, "left").select("token", "v", "size_at", F.coalesce("root", "v").alias("root"))
@@ -179,9 +183,11 @@ def similar(documents: DataFrame, size: int = SIZE, percent: int = PERCENT) -> t
     crossed = crossed.join(starred, ["a", "b"], "left_anti")
     crossed = staged(crossed, "pairs")
     removed(lists, member, starred, other)
+    settled(spark)
     second = verified(documents, classes, crossed, shared, size, percent)
     removed(crossed)
-    return sets.drop("prefix"), classes, first.unionByName(second)
+    settled(spark)
+    return names, classes, first.unionByName(second)
 
 
 def _parts(documents: DataFrame, classes: DataFrame, wanted: DataFrame, logs, size: int, first: bool) -> DataFrame:
@@ -284,6 +290,9 @@ def one_of_each_group(documents: DataFrame, size: int = SIZE, percent: int = PER
     named = kept.select(F.col(row).alias("_of"), F.col("doc_id").alias("_id")).join(found, F.col("_of") == F.col("_row"))
     order = F.struct(F.col("_id").isNull().alias("missing"), F.col("_id").alias("id"), F.col("_row").alias("row"))
     first = named.groupBy("component_id").agg(F.min(order)["row"].alias("_first")).select("_first")
+    # Written, so that nothing of the search is held while the texts are dealt.
+    first = staged(first, "leaders").hint("shuffle_hash")
+    settled(documents.sparkSession)
     return kept.join(first, F.col(row) == F.col("_first"), "left_semi").select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
