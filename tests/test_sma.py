@@ -6,6 +6,7 @@ from ticks import BASE, messages, tick
 
 from tickbars.functions.codec import decode_ticks, with_event_time
 from tickbars.operators.bars import bars
+from tickbars.operators.history import window_bounds
 from tickbars.operators.sma import (
     MA_COLUMNS,
     fill_bar_defaults,
@@ -201,3 +202,22 @@ def test_lines_ship_each_bar_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Expand" not in plan
     assert plan_of(sma_all(rows)).count("Expand") == 1
+
+
+def test_no_task_holds_a_table_of_its_windows(spark):
+    """Windows are given in the order of the sorted bars; nothing above them aggregates or sorts."""
+    rows = bar_table(spark, random_rows(6))
+    unique = rows.dropDuplicates(["symbol", "start"])
+    plans = (
+        sma_lines(unique, one_bar_per_second=True), sma_lines(rows), window_bounds(rows, 5),
+    )
+    for plan in map(plan_of, plans):
+        above = plan[: plan.index("Generate explode(sequence(")]
+        assert "Aggregate" not in above and "Sort" not in above and "Exchange" not in above
+
+
+def test_rows_of_one_second_in_spite_of_the_shortcut(spark):
+    rows = bar_table(spark, random_rows(8, symbols=("A", None))).cache()
+    assert content(sma_lines(rows, one_bar_per_second=True, round_to=6)) == content(
+        sma_lines(rows, round_to=6)
+    )

@@ -216,11 +216,16 @@ def latest_price(bars: DataFrame) -> DataFrame:
 def window_bounds(bars: DataFrame, seconds: int, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """First and last bar of each window of ``seconds`` that slides by a second.
 
-    Bars are shipped once, to their slice of time, and copied into windows only there."""
+    Bars are shipped once, to their slice of time, and windows are made only there."""
     rows = bars.where("start is not null").selectExpr("symbol", "unix_seconds(start) AS second", "start AS _bar")
-    starts = window_starts(dealt(rows, seconds - 1, slice_seconds), seconds - 1, slice_seconds)
-    grouped = starts.groupBy("symbol", "slice", "at").agg(
-        F.min("_bar").alias("first_data_time"), F.max("_bar").alias("last_data_time")
+    per_second = dealt(rows, seconds - 1, slice_seconds).groupBy("symbol", "slice", "second").agg(
+        F.min("_bar").alias("first"), F.max("_bar").alias("last")
+    )
+    starts = window_starts(per_second, seconds - 1, ["first", "last"], slice_seconds)
+    inside = starts.select("symbol", "at", F.expr(f"filter(ahead, b -> b.second < at + {seconds})").alias("b"))
+    grouped = inside.select(
+        "symbol", "at", F.element_at("b", 1)["first"].alias("first_data_time"),
+        F.element_at("b", -1)["last"].alias("last_data_time"),
     )
     start = F.timestamp_seconds("at")
     end = F.timestamp_seconds(F.col("at") + seconds)

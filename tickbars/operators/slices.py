@@ -56,8 +56,20 @@ def dealt(rows: DataFrame, reach: int, slice_seconds: int = SLICE_SECONDS) -> Da
     ).repartition("symbol", "slice")
 
 
-def window_starts(rows: DataFrame, reach: int, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """A row of ``dealt`` for each start ``at``, within its slice, of a window it is in."""
-    first = f"greatest(second - {reach}, slice * {slice_seconds})"
+def window_starts(
+    rows: DataFrame, reach: int, values: Sequence[str], slice_seconds: int = SLICE_SECONDS
+) -> DataFrame:
+    """A row (symbol, at, ahead) for each start ``at``, within its slice, of a window that a row of
+    ``dealt`` is in; ``ahead`` has the second and the ``values`` of all rows of the window, in time order.
+
+    Rows are sorted once and each start is given by the first row at or after it, so a task keeps the
+    rows of one window only, not a table of all its windows."""
+    group = Window.partitionBy("symbol", "slice").orderBy("second")
+    ahead = F.collect_list(F.struct("second", *values)).over(group.rangeBetween(0, reach))
+    rows = rows.select("symbol", "slice", "second", F.lag("second").over(group).alias("before"), ahead.alias("ahead"))
+    # The comparison skips a null: the first row of a group has no row before it.
+    first = f"greatest(second - {reach}, slice * {slice_seconds}, before + 1)"
     last = f"least(second, slice * {slice_seconds} + {slice_seconds - 1})"
-    return rows.selectExpr("*", f"explode(sequence({first}, {last})) AS at")
+    return rows.where(f"{first} <= {last}").selectExpr(
+        "symbol", f"explode(sequence({first}, {last})) AS at", "ahead"
+    )

@@ -3,8 +3,9 @@
 A sliding window over bars that lie scattered over the partitions copies every
 bar once per window it is in, and ships nearly all of these copies. Here each
 bar is shipped once (plus a narrow overlap): time is cut into slices, whole
-(symbol, slice) groups meet in one task, and only there a bar is copied into its
-windows, which are complete without another shuffle. A slice holds at most
+(symbol, slice) groups meet in one task, sorted by time, and each window is made
+there from its first bar and those that follow, without another shuffle and without
+a table of windows in memory. A slice holds at most
 ``slice_seconds`` bars of one symbol, so the group size does not grow with the
 table, and a symbol that holds a third of all bars is spread over its slices.
 """
@@ -21,6 +22,18 @@ from tickbars.operators.sma import MEASURES, unfold
 from tickbars.schemas import DURATIONS
 
 
+def _sums(seconds: int) -> str:
+    """Sums of the bars ``ahead`` in the window of ``seconds`` from ``at``, in time order."""
+    types = {name: "DOUBLE" if name == "sum_of_vwap" else "BIGINT" for name in MEASURES}
+    zero = ", ".join(f"CAST(NULL AS {of}) AS {name}" for name, of in types.items())
+    more = ", ".join(
+        f"if(b.{name} IS NULL, a.{name}, coalesce(a.{name}, CAST(0 AS {of})) + b.{name}) AS {name}"
+        for name, of in types.items()
+    )
+    within = f"filter(ahead, b -> b.second < at + {seconds})"
+    return f"aggregate({within}, struct({zero}), (a, b) -> struct({more}))"
+
+
 def sma_lines(
     bars: DataFrame,
     durations: Sequence[int] = DURATIONS,
@@ -43,14 +56,11 @@ def sma_lines(
         # Rows of one second meet in their slice; adding them up needs no further shuffle.
         sums = [F.sum(name).alias(name) for name in MEASURES]
         sliced = sliced.groupBy("symbol", "slice", "second").agg(*sums)
-    sliced = sliced.sortWithinPartitions("symbol", "slice", "second")
-    # Bars come in time order, so sums of prices always add up in the same order.
-    # The partitioning above already brings each group of the aggregation together.
-    starts = window_starts(sliced, reach, slice_seconds)
-    sums = [
-        F.expr(f"sum(if(second < at + {seconds}, {name}, NULL)) AS {name}_{seconds}")
-        for seconds in durations
-        for name in MEASURES
-    ]
-    windows = starts.groupBy("symbol", "slice", "at").agg(*sums)
+    starts = window_starts(sliced, reach, list(MEASURES), slice_seconds)
+    windows = starts.select(
+        "symbol", "at", *[F.expr(_sums(seconds)).alias(f"_{seconds}") for seconds in durations]
+    ).select(
+        "symbol", "at",
+        *[F.col(f"_{seconds}")[name].alias(f"{name}_{seconds}") for seconds in durations for name in MEASURES],
+    )
     return unfold(windows, durations, "timestamp_seconds(at)", round_to)
