@@ -440,6 +440,53 @@ def test_extraction_without_landmarks_on_a_large_host(spark):
     assert got == {k: "\n\n".join(text) for k, text in enumerate(own)}
 
 
+def pages_of(spark, articles):
+    """One host's pages, each with an article of these paragraphs, a menu and a sidebar of its own."""
+    page = "<nav>Home About</nav><article>{}</article><div class='sidebar'>own {} words</div>"
+    rows = [(k, f"http://h.example/{k}", page.format("".join(f"<p>{x}</p>" for x in text), k)) for k, text in enumerate(articles)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_repeats_judge_articles(spark):
+    """A notice inside the article elements goes; short lines, copied articles and what quotes them stay."""
+    rng = random.Random(15)
+    notice, line = prose(rng, 40), prose(rng, 8)
+    copied = [prose(rng, 60) for _ in range(3)]
+    noticed = [[prose(rng, 90), line, prose(rng, 50), notice, prose(rng, 9)] for _ in range(12)]
+    noticed += [[notice, prose(rng, 120)], [prose(rng, 60) + " " + notice, prose(rng, 60)]]
+    articles = [*noticed, *[[*copied, prose(rng, 5)] for _ in range(5)], [prose(rng, 100), copied[1], prose(rng, 100)]]
+    got = {r.page_id: r.text for r in extraction.extracted(pages_of(spark, articles)).collect()}
+    assert got == {k: "\n\n".join(x for x in text if x != notice) for k, text in enumerate(articles)}
+
+
+def test_repeats_in_articles_follow_brute_force(spark):
+    rng = random.Random(16)
+    articles = [[prose(rng, 150), *[prose(rng, rng.randint(1, 30)) for _ in range(3)]] for _ in range(120)]
+    for _ in range(60):
+        words = prose(rng, rng.randint(15, 45))
+        for k in rng.sample(range(120), rng.randint(2, 5)):
+            at = rng.randint(1, 3)
+            articles[k][at] = rng.choice([f"{articles[k][at]} {words}", f"{words} {articles[k][at]}"]) if len(articles[k][at].split()) < 40 else articles[k][at]
+    places = collections.defaultdict(set)
+    for k, text in enumerate(articles):
+        words = " ".join(text).split()
+        for p in range(len(words) - 19):
+            places[tuple(words[p : p + 20])].add(k)
+    expected = {}
+    for k, text in enumerate(articles):
+        words = " ".join(text).split()
+        covered = {q for p in range(len(words) - 19) if len(places[tuple(words[p : p + 20])]) >= 3 for q in range(p, p + 20)}
+        kept, low = [], 0
+        for block in text:
+            high = low + len(block.split())
+            if 2 * sum(q in covered for q in range(low, high)) <= high - low:
+                kept.append(block)
+            low = high
+        expected[k] = "\n\n".join(kept)
+    assert sum(expected[k] != "\n\n".join(text) for k, text in enumerate(articles)) > 20
+    assert {r.page_id: r.text for r in extraction.extracted(pages_of(spark, articles)).collect()} == expected
+
+
 def test_chat(spark):
     rows = [
         (1, 0, "user", "a <|end|> \\b \\l | < \n"), (1, 1, "user", None), (1, 2, "assistant", "x<|more|>y"), (1, 3, "assistant", ""), (1, 4, "assistant", "z"), (1, 5, "system", "s"),

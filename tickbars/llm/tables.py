@@ -46,11 +46,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` written once into the shared folder: later readings cost a scan, their size is
-    known to the planner, and a lost executor loses nothing."""
+def staged(rows: DataFrame, name: str, **options: str) -> DataFrame:
+    """``rows`` written once into the shared folder, with options of the writer: later readings cost a
+    scan, their size is known to the planner, and a lost executor loses nothing."""
     path = fresh_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.options(**options).parquet(path)
     read = rows.sparkSession.read.schema(rows.schema).parquet(path)
     read._tickbars_folder = path
     return read
