@@ -221,11 +221,11 @@ def window_bounds(bars: DataFrame, seconds: int, slice_seconds: int = SLICE_SECO
     per_second = dealt(rows, seconds - 1, slice_seconds).groupBy("symbol", "slice", "second").agg(
         F.min("_bar").alias("first"), F.max("_bar").alias("last")
     )
-    starts = window_starts(per_second, seconds - 1, ["first", "last"], slice_seconds)
-    inside = starts.select("symbol", "at", F.expr(f"filter(ahead, b -> b.second < at + {seconds})").alias("b"))
-    grouped = inside.select(
-        "symbol", "at", F.element_at("b", 1)["first"].alias("first_data_time"),
-        F.element_at("b", -1)["last"].alias("last_data_time"),
+    own = {"first": (F.min("first"), 0), "last": (F.max("last"), seconds - 1)}
+    starts = window_starts(per_second, seconds - 1, ["last"], slice_seconds, own)
+    last = f"if(at = second, last, element_at(filter(ahead, b -> b.second < at + {seconds}), -1).last)"
+    grouped = starts.select(
+        "symbol", "at", F.col("first").alias("first_data_time"), F.expr(last).alias("last_data_time")
     )
     start = F.timestamp_seconds("at")
     end = F.timestamp_seconds(F.col("at") + seconds)

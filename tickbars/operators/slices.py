@@ -12,7 +12,7 @@ and sorted as the window before it left them: the whole table is shuffled and so
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -57,19 +57,29 @@ def dealt(rows: DataFrame, reach: int, slice_seconds: int = SLICE_SECONDS) -> Da
 
 
 def window_starts(
-    rows: DataFrame, reach: int, values: Sequence[str], slice_seconds: int = SLICE_SECONDS
+    rows: DataFrame,
+    reach: int,
+    values: Sequence[str],
+    slice_seconds: int = SLICE_SECONDS,
+    own: Mapping[str, tuple[Column, int]] | None = None,
 ) -> DataFrame:
-    """A row (symbol, at, ahead) for each start ``at``, within its slice, of a window that a row of
-    ``dealt`` is in; ``ahead`` has the second and the ``values`` of all rows of the window, in time order.
+    """A row (symbol, second, at, ahead) for each start ``at``, within its slice, of a window that a row
+    of ``dealt`` is in; ``ahead`` has the second and the ``values`` of all rows of the window, in time
+    order. ``own`` adds aggregates of the rows up to so many seconds after the ``second`` of the row that
+    gives the start, for the window that starts there.
 
     Rows are sorted once and each start is given by the first row at or after it, so a task keeps the
     rows of one window only, not a table of all its windows."""
     group = Window.partitionBy("symbol", "slice").orderBy("second")
     ahead = F.collect_list(F.struct("second", *values)).over(group.rangeBetween(0, reach))
-    rows = rows.select("symbol", "slice", "second", F.lag("second").over(group).alias("before"), ahead.alias("ahead"))
+    own = {name: value.over(group.rangeBetween(0, upto)) for name, (value, upto) in (own or {}).items()}
+    rows = rows.select(
+        "symbol", "slice", "second", F.lag("second").over(group).alias("before"), ahead.alias("ahead"),
+        *[value.alias(name) for name, value in own.items()],
+    )
     # The comparison skips a null: the first row of a group has no row before it.
     first = f"greatest(second - {reach}, slice * {slice_seconds}, before + 1)"
     last = f"least(second, slice * {slice_seconds} + {slice_seconds - 1})"
     return rows.where(f"{first} <= {last}").selectExpr(
-        "symbol", f"explode(sequence({first}, {last})) AS at", "ahead"
+        "symbol", "second", f"explode(sequence({first}, {last})) AS at", "ahead", *own
     )

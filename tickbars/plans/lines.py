@@ -23,7 +23,8 @@ from tickbars.schemas import DURATIONS
 
 
 def _sums(seconds: int) -> str:
-    """Sums of the bars ``ahead`` in the window of ``seconds`` from ``at``, in time order."""
+    """Sums of the bars in the window of ``seconds`` from ``at``, in time order: those of the frame if it
+    starts at a bar, otherwise of the bars ``ahead``."""
     types = {name: "DOUBLE" if name == "sum_of_vwap" else "BIGINT" for name in MEASURES}
     zero = ", ".join(f"CAST(NULL AS {of}) AS {name}" for name, of in types.items())
     more = ", ".join(
@@ -31,7 +32,8 @@ def _sums(seconds: int) -> str:
         for name, of in types.items()
     )
     within = f"filter(ahead, b -> b.second < at + {seconds})"
-    return f"aggregate({within}, struct({zero}), (a, b) -> struct({more}))"
+    frame = ", ".join(f"{name}_{seconds} AS {name}" for name in MEASURES)
+    return f"if(at = second, struct({frame}), aggregate({within}, struct({zero}), (a, b) -> struct({more})))"
 
 
 def sma_lines(
@@ -56,7 +58,11 @@ def sma_lines(
         # Rows of one second meet in their slice; adding them up needs no further shuffle.
         sums = [F.sum(name).alias(name) for name in MEASURES]
         sliced = sliced.groupBy("symbol", "slice", "second").agg(*sums)
-    starts = window_starts(sliced, reach, list(MEASURES), slice_seconds)
+    # Windows that start at a bar, as nearly all do where bars are dense, are summed by frames.
+    own = {
+        f"{name}_{seconds}": (F.sum(name), seconds - 1) for seconds in durations for name in MEASURES
+    }
+    starts = window_starts(sliced, reach, list(MEASURES), slice_seconds, own)
     windows = starts.select(
         "symbol", "at", *[F.expr(_sums(seconds)).alias(f"_{seconds}") for seconds in durations]
     ).select(
